@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import fixed, null_to
 from ..sentinels import BLANK, FLAG_DIRECT, FLAG_MM, FLAG_MTD, MISSING_ID, UNKNOWN, ZERO
-from .lookup import lookup, spread_key
+from .lookup import HotKeys, lookup, set_aside
 
 SUBSCRIBER_COLUMNS = ("subs_id", "cust_type_desc", "cust_subtype_desc")
 
@@ -43,6 +43,7 @@ def enrich_subscriber(
     null_attributes_too: bool = False,
     unique: bool = True,
     prefer: Sequence[str] = (),
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Add the subscriber columns named in ``defaults``.
 
@@ -57,6 +58,7 @@ def enrich_subscriber(
         hit="_found",
         unique=unique,
         prefer=prefer,
+        hot=hot,
     )
     values = {}
     for c, default in defaults.items():
@@ -76,6 +78,7 @@ def enrich_dominant_location(
     *,
     unique: bool = True,
     take_also: Mapping[str, str] | None = None,
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Add one history block: ``<prefix>_lacci_id``, ... and ``<prefix>_flag``.
 
@@ -84,7 +87,7 @@ def enrich_dominant_location(
     """
     take = {f"{prefix}_{name}": source for name, source in columns.items()}
     found = lookup(
-        df, history, on, {**take, **(take_also or {})}, hit="_found", unique=unique
+        df, history, on, {**take, **(take_also or {})}, hit="_found", unique=unique, hot=hot
     )
     values = {
         f"{prefix}_{name}": F.when(F.col("_found"), F.col(f"{prefix}_{name}")).otherwise(
@@ -108,22 +111,26 @@ def fill_location_from_history(
     blank_blocks: bool = False,
     flag_on_equal_id: bool = False,
     spread_by: Sequence[str] = (),
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Fill a missing location from this month's, then last month's history.
 
     Adds ``find_flag``: "1#" or "2#" for a location out of history, "0" for the
     record's own (or none). The location defaults to "-99". Records of the
-    unknown subscriber "-99" have no history; ``spread_by`` spreads them.
+    unknown subscriber "-99" have no history; ``spread_by`` spreads them, and
+    the records of the ``hot`` subscribers.
     """
     own = F.nullif(F.col(location), F.lit("|"))
     if blank_blocks:
         own = F.when(F.col(location) == "|", F.lit(BLANK)).otherwise(F.col(location))
     else:
         own = F.nullif(own, F.lit(BLANK))
-    known = F.nullif(F.col(key), F.lit(MISSING_ID))
-    both = df.withColumn("_subs", spread_key(known, spread_by) if spread_by else known)
+    both = df.withColumn("_subs", F.nullif(F.col(key), F.lit(MISSING_ID)))
+    aside = HotKeys("_subs", hot.values if hot else ())
+    if spread_by:
+        both = set_aside(both, aside, spread_by)
     for name, history, (subs, where) in (("_mtd", mtd, mtd_columns), ("_mm", mm, mm_columns)):
-        both = lookup(both, history, {"_subs": subs}, {name: where})
+        both = lookup(both, history, {"_subs": subs}, {name: where}, hot=aside if spread_by else None)
     both = both.withColumn("_own", own).withColumn("_where", F.coalesce("_own", "_mtd", "_mm"))
     if flag_on_equal_id:
         from_mtd = F.col("_mtd") == F.col("_where")
@@ -138,7 +145,7 @@ def fill_location_from_history(
     )
     return both.withColumns(
         {"find_flag": flag, location: null_to("_where", MISSING_ID)}
-    ).drop("_subs", "_mtd", "_mm", "_own", "_where")
+    ).drop("_subs", aside.cold, "_mtd", "_mm", "_own", "_where")
 
 
 def join_phone_prefix(

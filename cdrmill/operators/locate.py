@@ -22,7 +22,7 @@ from ..sentinels import (
     PACKED_UNRESOLVED,
     UNKNOWN,
 )
-from .lookup import lookup, spread_key
+from .lookup import HotKeys, lookup
 from .skew import keep_one
 
 Slice = tuple[int, int | None]
@@ -126,12 +126,23 @@ def location_index(
 
 
 def lookup_location(
-    df: DataFrame, index: DataFrame, location: str = "trx_lacci", spread_by: Sequence[str] = ()
+    df: DataFrame,
+    index: DataFrame,
+    location: str = "trx_lacci",
+    spread_by: Sequence[str] = (),
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """One lookup of ``location`` in a ``location_index``; null where missed."""
     take = {c: c for c in index.columns if c not in ("loc_key", "loc_priority")}
     return lookup(
-        df, index, {location: "loc_key"}, take, hit="location_found", unique=False, spread_by=spread_by
+        df,
+        index,
+        {location: "loc_key"},
+        take,
+        hit="location_found",
+        unique=False,
+        spread_by=spread_by,
+        hot=HotKeys(location, hot.values) if hot else None,
     )
 
 
@@ -233,6 +244,7 @@ def match_location(
     take_also: Sequence[str] = (),
     unique: bool = True,
     spread_by: Sequence[str] = (),
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Look each record up in the master column its ``kind`` names: one join
     for all kinds, on (kind, key).
@@ -250,17 +262,15 @@ def match_location(
         )
     index = reduce(DataFrame.unionByName, layers)
     keyless = is_blank(location) | (F.col(location) == "|")
-    searched = df.withColumn(
-        "_search",
-        spread_key(location, spread_by, keyless) if spread_by else F.when(~keyless, F.col(location)),
-    )
     return lookup(
-        searched,
+        df.withColumn("_search", F.when(~keyless, F.col(location))),
         index,
         {kind: "_kind", "_search": "_key"},
         {f"m_{c}": f"m_{c}" for c in columns},
         hit="m_found",
         unique=unique,
+        spread_by=spread_by,
+        hot=HotKeys("_search", hot.values if hot else ()) if spread_by else None,
     ).drop("_search")
 
 

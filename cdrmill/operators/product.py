@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import as_col, fixed
 from ..sentinels import BLANK, NOT_QUALIFIED
-from .lookup import lookup
+from .lookup import HotKeys, lookup
 
 LEVELS = ("l4_name", "l3_name", "l2_name", "l1_name")
 
@@ -44,9 +44,19 @@ def add_product(
     offer: str = "offer_id",
     levels: Sequence[str] = LEVELS,
     unique: bool = True,
+    spread_by: Sequence[str] = (),
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Taxonomy by offer, "NQ" where unknown; ``products`` is keyed by ``rkey``."""
-    found = lookup(df, products, {offer: "rkey"}, {c: c for c in levels}, unique=unique)
+    found = lookup(
+        df,
+        products,
+        {offer: "rkey"},
+        {c: c for c in levels},
+        unique=unique,
+        spread_by=spread_by,
+        hot=hot,
+    )
     return found.fillna(NOT_QUALIFIED, list(levels))
 
 
@@ -84,13 +94,17 @@ def classify_product_by_service(
     vas_code: str = "vas_code",
     levels: Sequence[str] = LEVELS,
     unique: bool = True,
+    spread_by: Sequence[str] = (),
+    hot: Mapping[str, HotKeys] | None = None,
 ) -> DataFrame:
     """Taxonomy of a usage record by its service group.
 
     Groups 2 and 3 try the called party, the offer and the service filter in
     turn; group 1 the offer; group 5 the VAS code; others stay "NQ". One pass:
     each try is a lookup on (group, key), which is null for groups that do not
-    make it. A level still "NQ" after one try takes the next.
+    make it. A level still "NQ" after one try takes the next. With ``spread_by``
+    the records without a key are spread, and those with a key that ``hot``
+    lists for its record column.
     """
     group = service_group(service_filter)
     cascade = F.col("_svc").isin("s2", "s3")
@@ -101,9 +115,11 @@ def classify_product_by_service(
         "_key2": F.when(cascade, F.col(offer)),
         "_key3": F.when(cascade, F.col(service_filter)),
     }
+    sources = {"_key1": (b_party, offer, vas_code), "_key2": (offer,), "_key3": (service_filter,)}
     keyed = products_by_service(products, levels)
     out = df.withColumn("_svc", group).withColumns(dict(tries))
     for key in tries:
+        values = {v for c in sources[key] if hot and c in hot for v in hot[c].values}
         out = lookup(
             out,
             keyed,
@@ -111,6 +127,8 @@ def classify_product_by_service(
             {f"{key}_{c}": c for c in levels},
             hit=f"{key}_hit",
             unique=unique,
+            spread_by=spread_by,
+            hot=HotKeys(key, tuple(sorted(values))) if spread_by else None,
         )
     filled = {}
     for c in levels:
@@ -160,6 +178,8 @@ def add_bonus_line(
     offer: str = "offer_id",
     out: str = "productline_bonus_l4",
     unique: bool = True,
+    spread_by: Sequence[str] = (),
+    hot: HotKeys | None = None,
 ) -> DataFrame:
     """Bonus product line: characters 3-10 of the offer against 4-11 of the
     line's fourth level."""
@@ -171,6 +191,8 @@ def add_bonus_line(
         {out: "_l4"},
         hit="_hit",
         unique=unique,
+        spread_by=spread_by,
+        hot=HotKeys("_offer8", tuple({v.strip(" ")[2:10] for v in hot.values})) if hot else None,
     )
     return found.withColumn(
         out, F.when(F.col("_hit"), F.col(out)).otherwise(F.lit(BLANK))

@@ -66,14 +66,17 @@ def dense_rank_by(
     keys: Sequence[str],
     order: Sequence[str],
     out: str,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
+    probe: DataFrame | None = None,
 ) -> DataFrame:
     """``dense_rank`` over ``keys`` ordered by ``order``, hot keys in pieces.
 
-    ``df`` is read more than once: stage it when its lineage is deep.
+    ``df`` is read more than once: stage it when its lineage is deep, or name a
+    shallower ``probe`` with the same keys to look for hot ones in. Without
+    ``hot_rows`` no key is looked for.
     """
     keys, order = list(keys), list(order)
-    hot = hot_keys(df, keys, hot_rows)
+    hot = None if hot_rows is None else hot_keys(df if probe is None else probe, keys, hot_rows)
     if hot is None:
         return df.withColumn(out, F.dense_rank().over(Window.partitionBy(*keys).orderBy(*order)))
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..sentinels import BLANK, ZERO
+from .lookup import NO_KEY, spread_key
 
 # State column (without its block prefix) -> column of the daily feed.
 DAILY_SOURCES: Mapping[str, str] = {
@@ -44,9 +45,12 @@ def merge_daily_state(
         *[F.col(c).alias(f"_b_{c}") for c in KEYS],
         *[F.col(f"{p}_{c}").alias(f"_b_{p}_{c}") for p in blocks for c in [*sources, "flag"]],
     )
+    # Rows without a subscriber match nothing; spread, they share no task.
+    a = a.withColumn("_a_key", spread_key("_a_subs_id", a.columns, mark=NO_KEY + "a"))
+    b = b.withColumn("_b_key", spread_key("_b_subs_id", b.columns, mark=NO_KEY + "b"))
     joined = a.join(
         b,
-        (F.col("_a_subs_id") == F.col("_b_subs_id")) & (F.col("_a_msisdn") == F.col("_b_msisdn")),
+        (F.col("_a_key") == F.col("_b_key")) & (F.col("_a_msisdn") == F.col("_b_msisdn")),
         "full_outer",
     )
     on_day = F.col("_a_subs_id").isNotNull() & F.col("_a_msisdn").isNotNull()

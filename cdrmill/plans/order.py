@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import fixed
-from ..operators.lookup import lookup
+from ..operators.lookup import find_hot_keys, lookup, set_aside
 from ..operators.product import resolve_offer
 from ..operators.quality import GOOD, REJECT, good_if_all_present, split_by
+from ..operators.skew import HOT_ROWS
 from ..quirks import INTENDED, Quirks
 from ..schemas import ORDER_OUT
 from ..sentinels import BRAND, PRE_POST
@@ -27,6 +28,7 @@ def order_records(
     run: RunInfo,
     *,
     quirks: Quirks = INTENDED,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Orders with both taxonomies and ``status_reject`` (GOOD / REJECT)."""
     day = fixed("timestamp_r", 1, 8)
@@ -44,6 +46,9 @@ def order_records(
             "event_date": day,
         }
     )
+    # Both lookups are by offer: one shuffle serves them.
+    hot = find_hot_keys(orders, "offer_id", hot_rows)
+    orders = set_aside(orders, hot, ("order_id", "msisdn", "timestamp_r"))
     for dim, levels in ((accounting, ACCOUNTING), (lines, LINE)):
         orders = lookup(
             orders,
@@ -51,8 +56,9 @@ def order_records(
             {"offer_id": "rkey"},
             {c: c for c in levels},
             unique=not quirks.dimension_fan_out,
+            hot=hot,
         )
-    return good_if_all_present(orders, [*ACCOUNTING, *LINE])
+    return good_if_all_present(orders.drop(hot.cold), [*ACCOUNTING, *LINE])
 
 
 def order_routes(records: DataFrame) -> dict[str, DataFrame]:

@@ -9,8 +9,10 @@ from ..functions.amounts import price_or_zero
 from ..functions.text import fixed
 from ..operators.enrich import enrich_subscriber, fill_location_from_history
 from ..operators.locate import closing_flag, location_index, lookup_location, payment_cell
+from ..operators.lookup import find_hot_keys, set_aside
 from ..operators.product import LEVELS, add_product, normalise_product_key, resolve_offer
 from ..operators.quality import reject_if_first_missing
+from ..operators.skew import HOT_ROWS
 from ..quirks import INTENDED, Quirks
 from ..schemas import ACTIVATION_STAGED, PAYMENT_GOOD, PAYMENT_STAGED
 from ..sentinels import BLANK, BRAND, MISSING_ID, NOT_QUALIFIED, PRE_POST, SITE, UNKNOWN
@@ -50,6 +52,8 @@ ACTIVATION_GOOD = (
     "payment_timestamp",
     *["future_string_4" if c == "bundling_id" else c for c in PAYMENT_GOOD[13:]],
 )
+# What tells records apart.
+IDENTITY = ("msisdn", "bss_order_id", "payment_timestamp")
 REJECT_EXTRA = ("filename", "trx_lacci", "lacci_id_flag", "retry_count", "status_reject")
 
 
@@ -60,6 +64,7 @@ def payment_stage1(
     *,
     activation: bool = False,
     quirks: Quirks = INTENDED,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Constants, price, offer, cell key and subscriber of each payment."""
     day = fixed("payment_timestamp", 1, 10)
@@ -78,12 +83,14 @@ def payment_stage1(
             "retry_count": F.lit(0),
         }
     )
+    hot = find_hot_keys(feed, "msisdn", hot_rows)
     enriched = enrich_subscriber(
-        payment_cell(derived),
+        set_aside(payment_cell(derived), hot, IDENTITY),
         subscribers,
         SUBSCRIBER_DEFAULTS,
         null_attributes_too=True,
         unique=not quirks.dimension_fan_out,
+        hot=hot,
     )
     return enriched.select(*(ACTIVATION_STAGED if activation else PAYMENT_STAGED))
 
@@ -98,16 +105,20 @@ def payment_stage2(
     *,
     activation: bool = False,
     quirks: Quirks = INTENDED,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
-    """Location, product and ``status_reject`` (YES / NO) of each payment."""
-    identity = ["msisdn", "bss_order_id", "payment_timestamp", "offer_id"]
+    """Location, product and ``status_reject`` (YES / NO) of each payment.
+
+    ``staged`` is read several times: give the table stage 1 was written to.
+    """
     located = fill_location_from_history(
         staged,
         mtd,
         mm,
         blank_blocks=quirks.blank_location_blocks_history,
         flag_on_equal_id=quirks.history_flag_on_equal_id,
-        spread_by=identity,
+        spread_by=IDENTITY,
+        hot=find_hot_keys(staged, "subs_id", hot_rows),
     )
     unique = LOCATION_KEYS
     if quirks.dimension_fan_out:
@@ -117,12 +128,20 @@ def payment_stage2(
     )
     # "-99" is no location: spread those records, they match nothing.
     searched = located.withColumn("_search", F.nullif("trx_lacci", F.lit(MISSING_ID)))
-    matched = lookup_location(searched, index, "_search", spread_by=identity).drop("_search")
+    matched = lookup_location(
+        searched,
+        index,
+        "_search",
+        spread_by=IDENTITY,
+        hot=find_hot_keys(staged, "trx_lacci", hot_rows),
+    ).drop("_search")
     flagged = closing_flag(matched, padded_unresolved_id=quirks.padded_unresolved_id)
     named = add_product(
         flagged.fillna(NOT_QUALIFIED, list(LOCATION_NAMES)),
         normalise_product_key(products),
         unique=not quirks.dimension_fan_out,
+        spread_by=IDENTITY,
+        hot=find_hot_keys(staged, "offer_id", hot_rows),
     )
     audited = named.withColumns(
         {
@@ -162,10 +181,11 @@ def payment_job(
     *,
     activation: bool = False,
     quirks: Quirks = INTENDED,
+    hot_rows: int | None = HOT_ROWS,
 ) -> dict[str, DataFrame]:
-    """Both stages; the judged records are staged once for the two outputs."""
-    first = payment_stage1(feed, subscribers, run, activation=activation, quirks=quirks)
-    judged = payment_stage2(
-        first, mtd, mm, master, products, run, activation=activation, quirks=quirks
-    )
+    """Both stages, each written out once: the first for the second to look for
+    hot keys in, the second for the two outputs."""
+    options = {"activation": activation, "quirks": quirks, "hot_rows": hot_rows}
+    first = stage(payment_stage1(feed, subscribers, run, **options), "payment_enriched")
+    judged = payment_stage2(first, mtd, mm, master, products, run, **options)
     return payment_routes(stage(judged, "payment"), activation=activation)

@@ -16,6 +16,7 @@ from ..operators.locate import (
     route_by_network,
     usage_cell_key,
 )
+from ..operators.lookup import find_hot_keys
 from ..operators.marts import recharge_revenue, recharge_to_revenue
 from ..operators.product import add_line_by_note
 from ..operators.quality import GOOD, REJECT, control_totals, quarantine_bad, reject_if_any_missing
@@ -45,6 +46,8 @@ SUBSCRIBER_DEFAULTS = {
 }
 # The record columns up to and including status.
 RECORD = (*RECHARGE_OUT[: RECHARGE_OUT.index("load_date")], "status_data", "status")
+# What tells records apart.
+IDENTITY = ("filename", "rec_id")
 # The recharge method kept, and those of the control totals.
 FEE_METHOD = "TPFEE"
 GROUP_PROCESS = "2"
@@ -97,12 +100,21 @@ def recharge_records(
     run: RunInfo,
     *,
     quirks: Quirks = INTENDED,
+    hot_rows: int | None = HOT_ROWS,
 ) -> dict[str, DataFrame]:
     """BAD records, and the cleansed, enriched and located others (STAGED)."""
     good, bad = quarantine_bad(feed, BAD_TEST)
     numbered = good if "rec_id" in feed.columns else number_arrivals(good, "rec_id")
+    clean = cleanse(numbered, run, quirks)
     enriched = add_subscriber_and_history(
-        cleanse(numbered, run, quirks), subscribers, mtd, mm, SUBSCRIBER_DEFAULTS, quirks
+        clean,
+        subscribers,
+        mtd,
+        mm,
+        SUBSCRIBER_DEFAULTS,
+        quirks,
+        spread_by=IDENTITY,
+        hot=find_hot_keys(clean, "msisdn", hot_rows),
     )
     matched = match_location(
         enriched.withColumn("_kind_of_key", route_by_network("indicator_4g", cgi=True)),
@@ -110,7 +122,8 @@ def recharge_records(
         kind="_kind_of_key",
         take_also=["file_id"] if quirks.file_id_from_master else [],
         unique=not quirks.dimension_fan_out,
-        spread_by=["filename", "rec_id"],
+        spread_by=IDENTITY,
+        hot=find_hot_keys(clean, "trx_lacci", hot_rows),
     )
     if quirks.cascade_tests_overwritten_key:
         located = resolve_location_overwriting(matched, "_kind_of_key")
@@ -127,27 +140,28 @@ def recharge_outputs(
     run: RunInfo,
     *,
     method: str | None = FEE_METHOD,
+    copies: bool = True,
     quirks: Quirks = INTENDED,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> dict[str, DataFrame]:
     """Duplicates, good and reject records, merged revenue and totals.
 
     ``method`` keeps recharges of one method in all but the duplicate outputs;
-    None keeps all. ``staged`` is written out once for the outputs.
+    None keeps all. ``staged`` is read several times: give a written table.
+    ``copies`` tells whether an input record can be in it more than once.
     """
-    once = stage(staged, "recharge")
-    fan_out_order = [c for c in RECORD if c not in ("filename", "rec_id")]
-    routes = route_recharge_duplicates(once, fan_out_order, hot_rows)
+    fan_out_order = [c for c in RECORD if c not in IDENTITY]
     sentinels = dict(RECHARGE_SENTINELS)
     if not quirks.customer_type_nq_is_present:
         sentinels["cust_type_desc"] = NOT_QUALIFIED
-    judged = reject_if_any_missing(routes["UNIQUE"], sentinels).withColumn(
+    routed = route_recharge_duplicates(staged, fan_out_order, copies=copies, hot_rows=hot_rows)
+    routed = stage(routed, "recharge_routed")
+    judged = reject_if_any_missing(routed.filter(F.col("route") == "UNIQUE"), sentinels).withColumn(
         "offer_id",
         F.when(F.col("status_data") == GOOD, F.col("provider_id")).otherwise(F.lit(BLANK)),
     )
     if method is not None:
         judged = judged.filter(F.col("recharge_method") == method)
-    judged = stage(judged, "recharge_unique")
 
     lined = judged
     if quirks.dimension_fan_out:
@@ -158,9 +172,10 @@ def recharge_outputs(
         {"p_event_date": F.col("event_date"), "load_date": F.lit(run.load_date)}
     )
     return {
-        "DUP01": routes["DUP01"],
-        "DUP02": routes["DUP02"],
-        "DUP03": routes["DUP03"],
+        **{
+            route: routed.filter(F.col("route") == route).drop("route")
+            for route in ("DUP01", "DUP02", "DUP03")
+        },
         GOOD: dated.filter(F.col("status_data") == GOOD)
         .withColumn("retry_count", F.col("rec_id") + 1)
         .select(*RECHARGE_OUT),
@@ -189,10 +204,13 @@ def recharge_job(
     *,
     method: str | None = FEE_METHOD,
     quirks: Quirks = INTENDED,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> dict[str, DataFrame]:
-    first = recharge_records(feed, subscribers, mtd, mm, master, run, quirks=quirks)
-    second = recharge_outputs(
-        first["STAGED"], lines, run, method=method, quirks=quirks, hot_rows=hot_rows
-    )
+    """Records, written out once, then all outputs."""
+    options = {"quirks": quirks, "hot_rows": hot_rows}
+    first = recharge_records(feed, subscribers, mtd, mm, master, run, **options)
+    # Numbered here and looked up in unique dimensions, a record stays single.
+    copies = quirks.dimension_fan_out or "rec_id" in feed.columns
+    staged = stage(first["STAGED"], "recharge")
+    second = recharge_outputs(staged, lines, run, method=method, copies=copies, **options)
     return {"BAD": first["BAD"], **second}

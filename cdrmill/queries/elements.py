@@ -64,13 +64,15 @@ def scan_payment_feed(t: Tables) -> DataFrame:
     return readers.read_feed(t.spark, path, PAYMENT_FEED)
 
 
-def _table_name(label: str) -> str:
-    return f"cdrmill_{label}"
+def _table_name(t: Tables, label: str) -> str:
+    """A new table name, in a database kept in the scratch folder."""
+    writers.create_database(t.spark, "cdrmill", f"{scratch_dir(t.spark)}/warehouse")
+    return f"cdrmill.{label}_{uuid.uuid4().hex}"
 
 
 @query("SELECT p_partkey, p_name, p_brand FROM part")
 def table_roundtrip(t: Tables) -> DataFrame:
-    name = _table_name("part")
+    name = _table_name(t, "part")
     writers.write_table(t.part.select("p_partkey", "p_name", "p_brand"), name)
     return readers.read_table(t.spark, name)
 
@@ -95,7 +97,7 @@ def header_csv_scan(t: Tables) -> DataFrame:
 
 @query("SELECT cast(s_suppkey AS string) AS s_suppkey, s_name FROM supplier")
 def bulk_load_table(t: Tables) -> DataFrame:
-    path, name, columns = _folder(t, "bulk"), _table_name("supplier"), ["s_suppkey", "s_name"]
+    path, name, columns = _folder(t, "bulk"), _table_name(t, "supplier"), ["s_suppkey", "s_name"]
     writers.write_delimited(t.supplier.select(*columns), path, sep="|")
     writers.drop_tables(t.spark, [name])
     writers.create_text_table(t.spark, name, columns)

@@ -36,7 +36,7 @@ def surrogate_counter(t: Tables) -> DataFrame:
 
 
 @query(
-    """SELECT count(*) AS records, 1 AS first_id, count(*) AS last_id, count(*) AS ids FROM lineitem"""
+    """SELECT count(*) AS records, cast(1 AS bigint) AS first_id, count(*) AS last_id, count(*) AS ids FROM lineitem"""
 )
 def arrival_numbering(t: Tables) -> DataFrame:
     """Numbers in arrival order: consecutive from 1 whatever the partitions."""
@@ -94,11 +94,8 @@ def dup_rank_recharge(t: Tables) -> DataFrame:
             "status": F.lit(duplicates.NODUP),
         }
     )
-    routes = duplicates.route_recharge_duplicates(feed, ["msisdn", "delta_balance", "timestamp_r"])
-    both = routes["DUP02"].withColumn("route", F.lit("DUP02")).unionByName(
-        routes["UNIQUE"].withColumn("route", F.lit("UNIQUE"))
-    )
-    return both.select("rec_id", F.col("r").cast("long").alias("r"), "status", "route")
+    routed = duplicates.route_recharge_duplicates(feed, ["msisdn", "delta_balance", "timestamp_r"])
+    return routed.select("rec_id", F.col("r").cast("long").alias("r"), "status", "route")
 
 
 @query(

@@ -38,8 +38,10 @@ def write_by_date(df: DataFrame, path: str, date: str = "event_date", mode: str
     spread.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(date).parquet(path)
 
 
-def create_database(spark: SparkSession, name: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
+def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:
+    """A database, if there is none yet; ``location`` holds its managed tables."""
+    place = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{place}")
 
 
 def drop_tables(spark: SparkSession, tables: Sequence[str]) -> None:
