@@ -21,6 +21,7 @@ from ..operators.marts import recharge_revenue, recharge_to_revenue
 from ..operators.product import add_line_by_note
 from ..operators.quality import GOOD, REJECT, control_totals, quarantine_bad, reject_if_any_missing
 from ..operators.skew import HOT_ROWS, number_arrivals
+from ..operators.wide import pack_columns, unpack_columns
 from ..quirks import INTENDED, Quirks
 from ..schemas import RECHARGE_OUT
 from ..sentinels import (
@@ -107,7 +108,7 @@ def recharge_records(
     numbered = good if "rec_id" in feed.columns else number_arrivals(good, "rec_id")
     clean = cleanse(numbered, run, quirks)
     enriched = add_subscriber_and_history(
-        clean,
+        pack_columns(clean, (*IDENTITY, "msisdn", "trx_lacci", "indicator_4g"), RECORD),
         subscribers,
         mtd,
         mm,
@@ -129,6 +130,7 @@ def recharge_records(
         located = resolve_location_overwriting(matched, "_kind_of_key")
     else:
         located = resolve_location_cascade(matched)
+    located = unpack_columns(located)
     if quirks.file_id_from_master:
         located = located.withColumn("file_id", F.col("m_file_id"))
     return {"BAD": bad, "STAGED": located.select(*RECORD)}

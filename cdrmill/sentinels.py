@@ -55,4 +55,5 @@ SUBSCRIBER_SENTINELS = {"subs_id": MISSING_ID, "cust_type_desc": MISSING_ID}
 PRODUCT_SENTINELS = {c: NOT_QUALIFIED for c in ("l4_name", "l3_name", "l2_name", "l1_name")}
 
 RECHARGE_SENTINELS = {**SUBSCRIBER_SENTINELS, **LOCATION_SENTINELS}
+# A usage record needs its taxonomy as well.
 USAGE_SENTINELS = {**RECHARGE_SENTINELS, **PRODUCT_SENTINELS}
