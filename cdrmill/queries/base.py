@@ -8,11 +8,13 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..session import tune
+from ..session import stage, tune
 from .feeds import FEEDS
 
 Build = Callable[["Tables"], DataFrame]
 
+_landed: dict[tuple[str, str, str], DataFrame] = {}
+
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events")
 
 
@@ -53,6 +55,16 @@ class Tables:
     def feed(self, name: str) -> DataFrame:
         return self.sql(FEEDS[name])
 
+    def landed(self, name: str) -> DataFrame:
+        """A feed written out as a job would find it: files of its own, split
+        for all cores whatever the table's layout. Once per session."""
+        spark = self.spark
+        key = (spark.sparkContext.applicationId, self.sf_dir, name)
+        if key not in _landed:
+            split = self.feed(name).repartition(spark.sparkContext.defaultParallelism)
+            _landed[key] = stage(split, f"feed_{name}")
+        return _landed[key]
+
 
 def with_feeds(names: Iterable[str], body: str) -> str:
     """``body`` over the named feeds. ``body`` starts with SELECT or with more
