@@ -61,6 +61,19 @@ def _cut_points(hot_rows: DataFrame, keys: Sequence[str], order: Sequence[str])
     return picks.groupBy(*keys).agg(F.sort_array(F.collect_list("_pick")).alias("_cuts"))
 
 
+def _count_below(cuts: str, value: Column) -> Column:
+    """How many of the sorted ``cuts`` (at most PIECES) are below ``value``:
+    a binary search, one comparison per halving."""
+    steps = [1 << i for i in range(PIECES.bit_length() - 1, -1, -1)]
+
+    def step(below: Column, ahead: Column) -> Column:
+        further = below + ahead
+        fits = (further <= F.size(cuts)) & (F.get(F.col(cuts), further - 1) < value)
+        return F.when(fits, further).otherwise(below)
+
+    return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), step)
+
+
 def dense_rank_by(
     df: DataFrame,
     keys: Sequence[str],
@@ -86,8 +99,7 @@ def dense_rank_by(
     cuts = F.broadcast(_renamed(_cut_points(in_hot, keys, order), keys))
 
     def into_pieces(rows: DataFrame) -> DataFrame:
-        value = F.struct(*order)
-        below = F.size(F.filter("_cuts", lambda c: c < value))
+        below = _count_below("_cuts", F.struct(*order))
         return (
             rows.join(cuts, _same_keys(keys), "left")
             .withColumn("_piece", F.when(F.col("_cuts").isNotNull(), below).otherwise(F.lit(0)))
