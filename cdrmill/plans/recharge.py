@@ -18,7 +18,7 @@ from ..operators.locate import (
 )
 from ..operators.lookup import find_hot_keys
 from ..operators.marts import recharge_revenue, recharge_to_revenue
-from ..operators.product import add_line_by_note
+from ..operators.product import add_line_by_note, prepaid_lines
 from ..operators.quality import GOOD, REJECT, control_totals, quarantine_bad, reject_if_any_missing
 from ..operators.skew import HOT_ROWS, number_arrivals
 from ..operators.wide import pack_columns, unpack_columns
@@ -168,7 +168,7 @@ def recharge_outputs(
     lined = judged
     if quirks.dimension_fan_out:
         # The line names are not part of the revenue; only their multiplicity is.
-        lined = add_line_by_note(judged, lines, unique=False)
+        lined = add_line_by_note(judged, prepaid_lines(lines), unique=False)
     revenue = recharge_revenue(recharge_to_revenue(lined, load_date=run.load_date))
     dated = judged.withColumns(
         {"p_event_date": F.col("event_date"), "load_date": F.lit(run.load_date)}
