@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import as_col, fixed, is_blank, null_to, pack, part, strip_one_zero, strip_zeros, swap
@@ -119,10 +119,8 @@ def location_index(
     if set(unique) == set(keys):
         return keep_one(index, ["loc_key"], ["loc_priority"])
     # Rows of the best priority, all of them where duplicates are kept.
-    best = F.min("loc_priority").over(Window.partitionBy("loc_key"))
-    return (
-        index.withColumn("_best", best).filter(F.col("loc_priority") == F.col("_best")).drop("_best")
-    )
+    best = index.groupBy("loc_key").agg(F.min("loc_priority").alias("loc_priority"))
+    return index.join(best, ["loc_key", "loc_priority"])
 
 
 def lookup_location(

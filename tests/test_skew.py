@@ -39,6 +39,11 @@ def test_hot_keys_are_few(skewed):
     assert skew.hot_keys(skewed, ["k"], 5000) is None
 
 
+def test_hot_keys_are_seen_in_a_share_of_the_rows(spark):
+    df = spark.range(60_000).selectExpr("CASE WHEN id % 3 = 0 THEN 'hot' ELSE cast(id AS string) END AS k")
+    assert [r[0] for r in skew.hot_keys(df, ["k"], 10_000).collect()] == ["hot"]
+
+
 def test_keep_one_ignores_arrival(skewed, rows):
     once = skew.keep_one(skewed, ["k"], ["v"])
     again = skew.keep_one(skewed.orderBy(F.desc("id")).repartition(3), ["k"], ["v"])
