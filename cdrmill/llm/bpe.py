@@ -29,6 +29,8 @@ from .blocks import ANSWERS, block_words, build_blocks, pack_answers, with_answe
 # White space (Unicode White_Space) as the tokenizer's pattern sees it.
 WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 _UNIT = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
+# A unit that is, or goes on behind, white space (RE2 spelling).
+_WHITE_INSIDE = r"^ ?$|.[\t-\r \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]|^[\t-\r\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 # White space other than single spaces and line ends (RE2 spelling).
 _ODD = (
     r"[ \n][ \n]|[\t\v-\r]|[\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -80,10 +82,13 @@ def make_splitter(added: list[str]):
     return split
 
 
-# The character that parts units given to the tokenizer together: it stands
-# alone there, as no unit but white space holds it.
+# Text in a block: a task codes and decodes a block in memory.
+BLOCK_BYTES = 8 << 20
+# Parts units that are given to the tokenizer together; it stands alone there,
+# as only units of white space hold it.
 _LINE = "\n"
-_SIMPLE = re.compile(f" ?[^{WHITE}]+")
+# Units of this many are encoded in one call.
+_TOGETHER = 8_192
 
 
 class Encoder:
@@ -98,27 +103,44 @@ class Encoder:
         self.tokenizer = Tokenizer.from_str(text)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.added = set(added_tokens(text))
+        self.added = pa.array(added_tokens(text), pa.string())
         (self.line,) = self._ids(_LINE)
 
     def _ids(self, text: str) -> list[int]:
-        return self.tokenizer.encode(text, add_special_tokens=False).ids
-
-    def encode(self, units: list[str]) -> list[np.ndarray]:
-        out: list[np.ndarray | None] = [None] * len(units)
-        together = []
-        for i, unit in enumerate(units):
-            if _SIMPLE.fullmatch(unit) and unit not in self.added:
-                together.append(i)
-            else:
-                out[i] = np.array(self._ids(unit), dtype="<u4")
-        for at in range(0, len(together), 4096):
-            some = together[at : at + 4096]
-            ids = np.array(self._ids(_LINE.join(units[i] for i in some)), dtype="<u4")
-            parts = np.split(ids, np.flatnonzero(ids == self.line))
-            for i, part in zip(some, parts, strict=True):
-                out[i] = part[1:] if i != some[0] else part
-        return out
+        # Without offsets, which nobody asks for.
+        return self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
+    def encode(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all units one after another, and how many each has."""
+        alone = pc.or_(pc.match_substring_regex(units, _WHITE_INSIDE), pc.is_in(units, self.added))
+        alone = pc.or_(alone, pc.equal(units, "")).to_numpy(zero_copy_only=False)
+        sizes = np.zeros(len(units), dtype=np.int64)
+        parts: list[np.ndarray] = []
+        order: list[np.ndarray] = []
+        for i in np.flatnonzero(alone):
+            ids = np.array(self._ids(units[i].as_py()), dtype="<u4")
+            sizes[i] = len(ids)
+            parts.append(ids)
+            order.append(np.array([i]))
+        rest = np.flatnonzero(~alone)
+        texts = units.take(pa.array(rest)).to_pylist()
+        for at in range(0, len(rest), _TOGETHER):
+            some = rest[at : at + _TOGETHER]
+            ids = np.array(self._ids(_LINE.join(texts[at : at + _TOGETHER])), dtype="<u4")
+            lines = np.flatnonzero(ids == self.line)
+            if len(lines) != len(some) - 1:
+                raise ValueError("units run into one another")
+            sizes[some] = np.diff(np.concatenate([[-1], lines, [len(ids)]])) - 1
+            parts.append(ids[ids != self.line])
+            order.append(some)
+        if not parts:
+            return np.zeros(0, "<u4"), sizes
+        # Back in the order of the units.
+        values, came = np.concatenate(parts), np.concatenate(order)
+        ends = np.cumsum(sizes[came])
+        starts = np.zeros(len(units), dtype=np.int64)
+        starts[came] = ends - sizes[came]
+        return expand(np.arange(len(units)), starts, sizes, values), sizes
 
 
 _encoders: dict[int, Encoder] = {}
@@ -139,18 +161,21 @@ def _encode_words(shared):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, last = encoder_of(shared.value), (None, None)
         for batch in batches:
+            if not batch.num_rows:
+                continue
             coded = batch.column("word").dictionary_encode()
-            words = coded.dictionary.to_pylist()
-            kept = last[0] is not None and words and words[0] == last[0]
-            ids = ([last[1]] if kept else []) + encoder.encode(words[1:] if kept else words)
-            if words:
-                last = (words[-1], ids[-1])
-            at = coded.indices.to_numpy(zero_copy_only=False)
-
-            def answer(rows: np.ndarray, at=at, ids=ids) -> bytes:
-                picked = [ids[i] for i in at[rows]]
-                sizes = np.array([len(p) for p in picked], dtype="<u4")
-                return sizes.tobytes() + b"".join(p.tobytes() for p in picked)
+            words = coded.dictionary
+            kept = int(words[0].as_py() == last[0])
+            values, sizes = encoder.encode(words.slice(kept))
+            if kept:
+                values, sizes = np.concatenate([last[1], values]), np.concatenate([[len(last[1])], sizes])
+            ends = np.cumsum(sizes)
+            last = (words[-1].as_py(), values[ends[-1] - sizes[-1] :])
+            at, starts = coded.indices.to_numpy(zero_copy_only=False), ends - sizes
+
+            def answer(rows: np.ndarray, at=at, starts=starts, sizes=sizes, values=values) -> bytes:
+                picked = at[rows]
+                return sizes[picked].astype("<u4").tobytes() + expand(picked, starts, sizes, values).tobytes()
 
             yield pack_answers(batch.column("block").to_numpy(), batch.column("code").to_numpy(), answer)
 
@@ -200,7 +225,7 @@ def encode(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     text = vocabulary_text(tokenizer or default_tokenizer())
     shared = docs.sparkSession.sparkContext.broadcast(text)
     given = docs.select(F.col("doc_id").cast("long"), "text")
-    blocks = build_blocks(given, make_splitter(added_tokens(text)), "bpe_blocks")
+    blocks = build_blocks(given, make_splitter(added_tokens(text)), "bpe_blocks", BLOCK_BYTES)
     words = block_words(blocks).select("word", "block", "code")
     words = words.repartition("word").sortWithinPartitions("word")
     answers = words.mapInArrow(_encode_words(shared), ANSWERS)

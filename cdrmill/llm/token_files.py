@@ -33,8 +33,9 @@ END_ID = 0
 SEQUENCE = 2_048
 # Sequences in a record batch.
 BATCH_ROWS = 64
-# Units whose ids a task remembers, in two generations.
-REMEMBERED = 150_000
+# Units whose ids a task remembers, and text that it encodes at a time.
+REMEMBERED = 400_000
+ENCODED_BYTES = 4 << 20
 DOCUMENT_FIELDS = [("doc_id", pa.int64()), ("first", pa.int64()), ("n_tokens", pa.int64())]
 FILES = "part int, path string, documents string, first_id long, n_ids long, n_docs long"
 
@@ -50,39 +51,45 @@ def sequence_schema(length: int, wide: bool) -> pa.Schema:
 
 
 class Memory:
-    """Ids of units met before; what was not asked for in a while is let go."""
+    """Ids of units met before, in flat arrays. Full, it starts anew."""
 
     def __init__(self, encoder):
-        self.encoder, self.young, self.old = encoder, {}, {}
-
-    def of(self, units: list[str]) -> list[np.ndarray]:
-        if len(self.young) > REMEMBERED:
-            self.young, self.old = {}, self.young
-        young, old, missing = self.young, self.old, []
-        for unit in units:
-            if unit not in young:
-                known = old.get(unit)
-                if known is None:
-                    missing.append(unit)
-                else:
-                    young[unit] = known
-        young.update(zip(missing, self.encoder.encode(missing)))
-        return [young[u] for u in units]
+        self.encoder = encoder
+        self._clear()
+
+    def _clear(self) -> None:
+        self.number: dict[str, int] = {}
+        self.values = np.array([END_ID], dtype="<u4")  # entry 0 is the end of a text
+        self.starts, self.sizes = np.zeros(1, np.int64), np.ones(1, np.int64)
+
+    def of(self, units: pa.Array) -> np.ndarray:
+        """Entry numbers of distinct units."""
+        if len(self.number) > REMEMBERED:
+            self._clear()
+        texts = units.to_pylist()
+        found = np.fromiter((self.number.get(t, -1) for t in texts), np.int64, len(texts))
+        new = np.flatnonzero(found < 0)
+        if len(new):
+            ids, sizes = self.encoder.encode(units.take(pa.array(new)))
+            first = len(self.sizes)
+            found[new] = np.arange(first, first + len(new))
+            self.number.update((texts[i], first + k) for k, i in enumerate(new))
+            self.starts = np.concatenate([self.starts, len(self.values) + np.cumsum(sizes) - sizes])
+            self.sizes = np.concatenate([self.sizes, sizes])
+            self.values = np.concatenate([self.values, ids])
+        return found
 
 
 def encode_chunk(column: pa.Array, split, memory: Memory) -> tuple[np.ndarray, np.ndarray]:
     """All ids of some texts, an end id after each text, and the ids per text."""
     units, offsets = split(column.fill_null(""))
     coded = units.dictionary_encode()
-    ids = memory.of(coded.dictionary.to_pylist())
-    end = len(ids)
-    ids = [*ids, np.array([END_ID], dtype="<u4")]
-    sizes = np.array([len(x) for x in ids], dtype=np.int64)
-    starts = np.cumsum(sizes) - sizes
-    codes = np.insert(coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), offsets[1:] - offsets[0], end)
-    lasts = offsets[1:] - offsets[0] + np.arange(len(column))
-    counted = np.cumsum(sizes[codes])[lasts]
-    return expand(codes, starts, sizes, np.concatenate(ids)), np.diff(counted, prepend=0)
+    entry = memory.of(coded.dictionary)
+    ends = offsets[1:] - offsets[0]
+    codes = np.insert(entry[coded.indices.to_numpy(zero_copy_only=False)], ends, 0)
+    counted = np.cumsum(memory.sizes[codes])[ends + np.arange(len(column))]
+    ids = expand(codes, memory.starts, memory.sizes, memory.values)
+    return ids, np.diff(counted, prepend=0)
 
 
 class SequenceWriter:
@@ -136,7 +143,7 @@ def _write_files(folder: str, shared, length: int, wide: bool):
         with write_to(path) as out, write_to(beside) as listed:
             writer, index = SequenceWriter(out, length, wide), pa.ipc.new_stream(listed, fields)
             while head is not None:
-                for piece in text_chunks(head):
+                for piece in text_chunks(head, size=ENCODED_BYTES):
                     ids, sizes = encode_chunk(piece.column("text"), split, memory)
                     writer.add(ids)
                     firsts = n_ids + np.cumsum(sizes) - sizes
