@@ -52,7 +52,7 @@ STRONG = 0.5
 INSERTED = "*xq"
 COST = 0.2
 # Labelled texts of each class that are learnt from, at most.
-TRAINING_TEXTS = 3_000
+TRAINING_TEXTS = 1_500
 THRESHOLD = 0.7
 # Text that is scored at a time: its arrays stay in the processor's cache.
 SCORED_BYTES = 1 << 18
@@ -137,6 +137,19 @@ def highest_windows(codes: np.ndarray, offsets: np.ndarray, weights: np.ndarray)
     return best, hits[np.searchsorted(hits, offsets[:-1])], windows
 
 
+def all_windows(codes: np.ndarray, offsets: np.ndarray, weights: np.ndarray):
+    """``highest_windows`` over many texts, a bounded piece at a time."""
+    parts, start = [], 0
+    while start < len(offsets) - 1:
+        end = int(np.searchsorted(offsets, offsets[start] + SCORED_BYTES, side="right")) - 1
+        end = min(max(end, start + 1), len(offsets) - 1)
+        low, high = offsets[start], offsets[end]
+        best, at, windows = highest_windows(codes[low:high], offsets[start : end + 1] - low, weights)
+        parts.append((best, at + low, windows.astype(np.float32)))
+        start = end
+    return tuple(np.concatenate(x) for x in zip(*parts))
+
+
 def standing_out(windows: np.ndarray, bar: float) -> np.ndarray:
     """Windows above ``bar`` that are the highest among those they overlap."""
     taken, free = [], np.ones(len(windows) + 2 * WINDOW, dtype=bool)
@@ -283,7 +296,7 @@ def train(texts: Sequence[str], toxic: Sequence[bool]) -> Machine:
     if not strong:
         return _constant(share)
     table = _fit(Kernel(landmarks), strong, texts, toxic)
-    best = highest_windows(*letters(*_packed(texts)), table)[0]
+    best = all_windows(*letters(*_packed(texts)), table)[0]
     return Machine(table, *_calibrate(best, toxic))
 
 
@@ -318,7 +331,7 @@ def _fit(kernel: Kernel, strong: set[str], texts: Sequence[str], toxic: np.ndarr
         x = np.concatenate([positive, negative])
         y = np.concatenate([np.ones(len(positive)), -np.ones(len(negative))])
         table = kernel.weights(support_vectors(x, y)[:-1])
-        best, at, windows = highest_windows(codes, offsets, table)
+        best, at, windows = all_windows(codes, offsets, table)
         # Clean texts: the highest window of each round, and one by chance.
         learnt.append(at[~toxic])
         learnt.append((offsets[:-1] + (chance.random(len(sizes)) * sizes).astype(np.int64))[~toxic])
