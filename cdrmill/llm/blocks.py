@@ -96,7 +96,7 @@ def _rows(block: int, kind: int, ids: list, flags: np.ndarray, sizes: np.ndarray
         }
 
 
-def _build(split: Split):
+def _build(split: Split, block_bytes: int):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
         made, held, size = 0, {}, 0
@@ -116,7 +116,7 @@ def _build(split: Split):
             _, offsets = texts_of(batch.column("text"))
             start = 0
             while start < batch.num_rows:
-                end = int(np.searchsorted(offsets, offsets[start] + BLOCK_BYTES - size, side="right")) - 1
+                end = int(np.searchsorted(offsets, offsets[start] + block_bytes - size, side="right")) - 1
                 end = min(max(end, start + 1), batch.num_rows)
                 piece = batch.slice(start, end - start)
                 kinds = piece.column("kind").to_numpy(zero_copy_only=False)
@@ -128,14 +128,16 @@ def _build(split: Split):
                     held.setdefault(int(kind), []).append(row)
                 size += int(offsets[end] - offsets[start])
                 start = end
-                if size >= BLOCK_BYTES:
+                if size >= block_bytes:
                     yield from flush()
         yield from flush()
 
     return work
 
 
-def build_blocks(docs: DataFrame, split: Split, label: str) -> DataFrame:
+def build_blocks(
+    docs: DataFrame, split: Split, label: str, block_bytes: int = BLOCK_BYTES
+) -> DataFrame:
     """Blocks of ``docs`` (doc_id, text, and where given flag and kind), written
     out. A block holds documents of one kind; ``counts`` are occurrences in
     documents whose flag is true."""
@@ -145,7 +147,7 @@ def build_blocks(docs: DataFrame, split: Split, label: str) -> DataFrame:
         F.coalesce(F.col("flag"), F.lit(False)).alias("flag") if "flag" in docs.columns else F.lit(False).alias("flag"),
         F.coalesce(F.col("kind"), F.lit(0)).cast("int").alias("kind") if "kind" in docs.columns else F.lit(0).alias("kind"),
     )
-    return staged(given.mapInArrow(_build(split), BLOCKS), label)
+    return staged(given.mapInArrow(_build(split, block_bytes), BLOCKS), label)
 
 
 def block_words(blocks: DataFrame) -> DataFrame:

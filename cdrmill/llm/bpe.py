@@ -16,15 +16,18 @@ from __future__ import annotations
 import json
 import re
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .blocks import ANSWERS, block_words, build_blocks, pack_answers, with_answers
+from .blocks import ANSWERS, build_blocks, with_answers
+from .common import partitions
 
 # White space (Unicode White_Space) as the tokenizer's pattern sees it.
 WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -83,7 +86,10 @@ def make_splitter(added: list[str]):
 
 
 # Text in a block: a task codes and decodes a block in memory.
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 16 << 20
+# Words are shuffled in buckets, so many for each shuffle partition.
+BUCKETS_PER_PARTITION = 48
+BUCKETED = "bucket long, block long, codes binary, lengths binary, words binary"
 # Parts units that are given to the tokenizer together; it stands alone there,
 # as only units of white space hold it.
 _LINE = "\n"
@@ -91,6 +97,13 @@ _LINE = "\n"
 _TOGETHER = 8_192
 
 
+def id_kind(text: str) -> str:
+    """The smallest number type that holds all ids of a vocabulary."""
+    given = json.loads(text)
+    most = max([*given["model"]["vocab"].values(), *(t["id"] for t in given["added_tokens"])], default=0)
+    return "<u2" if most < 1 << 16 else "<u4"
+
+
 class Encoder:
     """The tokenizers library on distinct units."""
 
@@ -103,6 +116,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_str(text)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
+        self.kind = id_kind(text)
         self.added = pa.array(added_tokens(text), pa.string())
         (self.line,) = self._ids(_LINE)
 
@@ -154,30 +168,85 @@ def encoder_of(text: str) -> Encoder:
     return _encoders[hash(text)]
 
 
-def _encode_words(shared):
-    """Sorted words of blocks -> ANSWERS; a word at the end of a batch is kept
-    for the next, so that each is encoded once."""
+def _to_buckets(buckets: int):
+    """Rows of words of blocks -> one row for each bucket (by a hash of the
+    word) and block: the words' lengths and bytes, and their numbers."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, last = encoder_of(shared.value), (None, None)
         for batch in batches:
-            if not batch.num_rows:
+            lists = batch.column("words")
+            words = lists.flatten().cast(pa.large_binary())
+            sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+            if not len(words):
                 continue
-            coded = batch.column("word").dictionary_encode()
-            words = coded.dictionary
-            kept = int(words[0].as_py() == last[0])
-            values, sizes = encoder.encode(words.slice(kept))
-            if kept:
-                values, sizes = np.concatenate([last[1], values]), np.concatenate([[len(last[1])], sizes])
-            ends = np.cumsum(sizes)
-            last = (words[-1].as_py(), values[ends[-1] - sizes[-1] :])
-            at, starts = coded.indices.to_numpy(zero_copy_only=False), ends - sizes
-
-            def answer(rows: np.ndarray, at=at, starts=starts, sizes=sizes, values=values) -> bytes:
-                picked = at[rows]
-                return sizes[picked].astype("<u4").tobytes() + expand(picked, starts, sizes, values).tobytes()
-
-            yield pack_answers(batch.column("block").to_numpy(), batch.column("code").to_numpy(), answer)
+            first = np.repeat(batch.column("start").to_numpy(), sizes)
+            codes = first + np.arange(len(words)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+            blocks = np.repeat(batch.column("block").to_numpy(), sizes)
+            bucket = np.fromiter((xxhash.xxh3_64_intdigest(w) % buckets for w in words.to_pylist()), np.int64, len(words))
+            order = np.lexsort((codes, blocks, bucket))
+            bucket, blocks, codes = bucket[order], blocks[order], codes[order]
+            words = words.take(pa.array(order))
+            lengths = pc.binary_length(words).to_numpy(zero_copy_only=False).astype("<u4")
+            ends = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
+            raw = np.frombuffer(words.buffers()[2] or b"", np.uint8)[int(np.frombuffer(words.buffers()[1], np.int64)[words.offset]) :].tobytes()
+            new = (bucket[1:] != bucket[:-1]) | (blocks[1:] != blocks[:-1])
+            cuts = np.concatenate([[0], np.flatnonzero(new) + 1, [len(codes)]])
+            spans = list(zip(cuts[:-1], cuts[1:]))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(bucket[cuts[:-1]]),
+                    pa.array(blocks[cuts[:-1]]),
+                    pa.array([codes[i:j].astype("<u4").tobytes() for i, j in spans], pa.binary()),
+                    pa.array([lengths[i:j].tobytes() for i, j in spans], pa.binary()),
+                    pa.array([raw[ends[i] : ends[j]] for i, j in spans], pa.binary()),
+                ],
+                ["bucket", "block", "codes", "lengths", "words"],
+            )
+
+    return work
+
+
+def _encode_words(shared):
+    """Rows of buckets, sorted -> ANSWERS. A word's rows all are in its bucket,
+    so each distinct word is encoded once."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        encoder = encoder_of(shared.value)
+
+        def answer(rows: list[dict]) -> pa.RecordBatch:
+            lengths = [np.frombuffer(r["lengths"], "<u4") for r in rows]
+            offsets = np.concatenate([[0], np.cumsum(np.concatenate(lengths), dtype=np.int64)])
+            texts = b"".join(r["words"] for r in rows)
+            words = pa.LargeStringArray.from_buffers(
+                len(offsets) - 1, pa.py_buffer(offsets.astype("<i8").tobytes()), pa.py_buffer(texts)
+            )
+            coded = words.cast(pa.string()).dictionary_encode()
+            values, sizes = encoder.encode(coded.dictionary)
+            starts = np.cumsum(sizes) - sizes
+            at = coded.indices.to_numpy(zero_copy_only=False)
+            picked = np.split(at, np.cumsum([len(x) for x in lengths])[:-1])
+            found = [
+                sizes[w].astype("<u4").tobytes() + expand(w, starts, sizes, values).astype(encoder.kind).tobytes()
+                for w in picked
+            ]
+            return pa.RecordBatch.from_arrays(
+                [
+                    pa.array([r["block"] for r in rows], pa.int64()),
+                    pa.array([r["codes"] for r in rows], pa.binary()),
+                    pa.array(found, pa.binary()),
+                ],
+                ["block", "codes", "answers"],
+            )
+
+        held: list[dict] = []
+        for batch in batches:
+            for row in batch.to_pylist():
+                if held and held[-1]["bucket"] != row["bucket"]:
+                    yield answer(held)
+                    held = []
+                held.append(row)
+        if held:
+            yield answer(held)
 
     return work
 
@@ -190,13 +259,13 @@ def expand(codes: np.ndarray, starts: np.ndarray, sizes: np.ndarray, values: np.
     return values[np.repeat(starts[codes] - before, took) + np.arange(int(took.sum()))]
 
 
-def _place(codes: np.ndarray, found: list[tuple[int, bytes]]):
+def _place(kind: str, codes: np.ndarray, found: list[tuple[int, bytes]]):
     """Starts, sizes and ids by word number."""
     sizes, starts = np.zeros(len(codes), np.int64), np.zeros(len(codes), np.int64)
     if not found:
         return starts, sizes, np.zeros(0, "<u4")
     came = np.concatenate([np.frombuffer(d, "<u4", count=n) for n, d in found]).astype(np.int64)
-    ids = np.concatenate([np.frombuffer(d, "<u4", offset=4 * n) for n, d in found])
+    ids = np.concatenate([np.frombuffer(d, kind, offset=4 * n) for n, d in found]).astype("<u4")
     ends = np.cumsum(came)
     sizes[codes], starts[codes] = came, ends - came
     return starts, sizes, ids
@@ -226,10 +295,12 @@ def encode(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(text)
     given = docs.select(F.col("doc_id").cast("long"), "text")
     blocks = build_blocks(given, make_splitter(added_tokens(text)), "bpe_blocks", BLOCK_BYTES)
-    words = block_words(blocks).select("word", "block", "code")
-    words = words.repartition("word").sortWithinPartitions("word")
+    buckets = BUCKETS_PER_PARTITION * partitions(docs.sparkSession)
+    words = blocks.filter(F.col("words").isNotNull()).select("block", "start", "words")
+    words = words.mapInArrow(_to_buckets(buckets), BUCKETED)
+    words = words.repartition("bucket").sortWithinPartitions("bucket")
     answers = words.mapInArrow(_encode_words(shared), ANSWERS)
-    return with_answers(blocks, answers, _place, _documents, ENCODED)
+    return with_answers(blocks, answers, partial(_place, id_kind(text)), _documents, ENCODED)
 
 
 def _byte_of() -> dict[str, int]:
