@@ -51,8 +51,16 @@ def good_if_all_present(df: DataFrame, columns: Sequence[str], out: str = "statu
     return df.withColumn(out, F.when(present, F.lit(GOOD)).otherwise(F.lit(REJECT)))
 
 
-def split_by(df: DataFrame, column: str, routes: Sequence[str]) -> dict[str, DataFrame]:
-    return {route: df.filter(F.col(column) == route) for route in routes}
+def split_by(
+    df: DataFrame, column: str, routes: Sequence[str], rest: str | None = None
+) -> dict[str, DataFrame]:
+    """A DataFrame per route. ``rest`` names the route of all other records,
+    those without a value among them; without it the caller knows there are none."""
+    parts = {route: df.filter(F.col(column) == route) for route in routes}
+    if rest is not None:
+        listed = F.col(column).isin(*routes) if routes else F.lit(False)
+        parts[rest] = df.filter(~F.coalesce(listed, F.lit(False)))
+    return parts
 
 
 def route_counts(df: DataFrame, route: str, amount: str | None = None) -> DataFrame:

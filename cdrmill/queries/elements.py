@@ -81,7 +81,9 @@ def table_roundtrip(t: Tables) -> DataFrame:
 def nested_folder_scan(t: Tables) -> DataFrame:
     root = _folder(t, "nested")
     picked = t.orders.select("o_orderkey", "o_orderstatus", "o_orderpriority")
-    for day, part in quality.split_by(picked, "o_orderstatus", ("F", "O", "P")).items():
+    for day, part in quality.split_by(
+        picked, "o_orderstatus", ("F", "O", "P"), rest="other"
+    ).items():
         part.write.parquet(f"{root}/2023/01/{day}")
     return readers.read_parquet(t.spark, f"{root}/*/*/*", picked.columns)
 
@@ -284,11 +286,28 @@ def business_filter(t: Tables) -> DataFrame:
 )
 def union_branches(t: Tables) -> DataFrame:
     parts = quality.split_by(
-        t.orders.select("o_orderkey", "o_orderstatus", "o_orderpriority"), "o_orderstatus", ("F", "O", "P")
+        t.orders.select("o_orderkey", "o_orderstatus", "o_orderpriority"),
+        "o_orderstatus",
+        ("F", "O", "P"),
+        rest="other",
     )
     return reduce(DataFrame.unionByName, parts.values())
 
 
+@query(
+    """SELECT CASE WHEN s IN ('F', 'P') THEN s ELSE 'other' END AS route, s AS status, count(*) AS records
+    FROM (SELECT CASE WHEN o_orderkey % 3 > 0 THEN o_orderstatus END AS s FROM orders) GROUP BY 1, 2"""
+)
+def split_with_rest(t: Tables) -> DataFrame:
+    """Null and unlisted routes are in the route for the rest."""
+    given = F.when(F.col("o_orderkey") % 3 > 0, F.col("o_orderstatus"))
+    parts = quality.split_by(t.orders.select(given.alias("status")), "status", ("F", "P"), rest="other")
+    routed = [part.withColumn("route", F.lit(route)) for route, part in parts.items()]
+    return reduce(DataFrame.unionByName, routed).groupBy("route", "status").agg(
+        F.count(F.lit(1)).alias("records")
+    )
+
+
 @query(
     """SELECT l_orderkey, l_linenumber, CASE WHEN coalesce(nullif(l_returnflag, 'N'), l_linestatus) = 'F'
     OR (l_quantity > 25 AND l_tax < 0.04) THEN 'y' ELSE 'x' END AS flag,

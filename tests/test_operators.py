@@ -199,3 +199,12 @@ def test_state_merge(spark, frame, rows):
         ],
         key=repr,
     )
+
+
+def test_split_by_keeps_all_rows(frame):
+    from cdrmill.operators.quality import split_by
+
+    df = frame("route", [("a",), ("b",), (None,), ("z",)])
+    parts = split_by(df, "route", ("a", "b"), rest="rest")
+    assert {k: v.count() for k, v in parts.items()} == {"a": 1, "b": 1, "rest": 2}
+    assert split_by(df, "route", (), rest="rest")["rest"].count() == 4
