@@ -233,6 +233,8 @@ class Kernel:
 
     def features_of(self, codes: np.ndarray, offsets: np.ndarray, at: np.ndarray) -> np.ndarray:
         """Nystroem features of the windows that start at some symbols."""
+        if not len(at):
+            return np.zeros((0, self.mapped.shape[1]))
         end = offsets[np.searchsorted(offsets, at, side="right")]
         spans = at[:, None] + np.arange(WINDOW)
         near = np.concatenate([codes, np.zeros(WINDOW + SPAN, codes.dtype)])
