@@ -46,8 +46,11 @@ ROUNDS = 4
 # A toxic text teaches by windows that are above this share of the clean texts'
 # highest windows; a text whose label is wrong has none.
 STANDS_OUT = 0.995
-# Words that mark toxic texts at least so strongly, against the strongest, begin.
-STRONG = 0.5
+# Of the texts that hold a marking word, even within a longer one, at least this
+# share is toxic; and chance would make any word so with less than this probability.
+MARKED_SHARE = 0.7
+BY_CHANCE = 0.1
+AROUND = 12
 # Characters put into marking words, to learn from them too.
 INSERTED = "*xq"
 COST = 0.2
@@ -186,24 +189,43 @@ def _packed(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
 WORD = re.compile(r"[^\W\d_]{4,}")
 
 
-def choose_landmarks(texts: Sequence[str], toxic: np.ndarray) -> tuple[list[str], set[str]]:
+def choose_landmarks(
+    texts: Sequence[str], toxic: np.ndarray, stands_for: tuple[float, float] = (1.0, 1.0)
+) -> tuple[list[str], set[str]]:
     """Words that mark the classes most, then frequent ones; and those that
-    mark toxic texts strongly."""
+    mark toxic texts strongly. Copies of a text count once."""
     counts = [Counter(), Counter()]
-    for text, label in zip(texts, toxic):
-        counts[int(label)].update(set(WORD.findall(text.lower())))
-    n = [int((toxic == k).sum()) for k in (0, 1)]
+    distinct = sorted({(text.lower(), bool(label)) for text, label in zip(texts, toxic)})
+    for text, label in distinct:
+        counts[label].update(set(WORD.findall(text)))
+    label = np.array([label for _, label in distinct])
+    n = [int((label == k).sum()) for k in (0, 1)]
     words = sorted(set(counts[0]) | set(counts[1]))
     if not words:
         return [], set()
     has = np.array([[c[w] for w in words] for c in counts], dtype=np.float64)
     odds = np.log((has[1] + 0.5) / (n[1] + 1)) - np.log((has[0] + 0.5) / (n[0] + 1))
     strength = odds * np.sqrt(has[0] + has[1])
-    marked = np.argsort(-strength, kind="stable")[: LANDMARKS // 4]
+    marked = np.argsort(-strength, kind="stable")[: LANDMARKS // 2]
     opposed = np.argsort(strength, kind="stable")[: LANDMARKS // 4]
-    frequent = np.argsort(-has[0], kind="stable")[: LANDMARKS // 2]
+    frequent = np.argsort(-has[0], kind="stable")[: LANDMARKS // 4]
     chosen = dict.fromkeys([*marked, *opposed, *frequent])
-    strong = {words[i] for i in marked if strength[i] > 0 and strength[i] >= STRONG * strength.max()}
+    # The kernel does not see where a word begins, so texts count that hold it
+    # anywhere; those with the same letters around it, near copies, count once.
+    share, strong = n[1] / len(label), set()
+    for i in marked:
+        found = ((text, text.find(words[i]), y) for text, y in distinct)
+        near = {(text[max(0, at - AROUND) : at + len(words[i]) + AROUND], y) for text, at, y in found if at >= 0}
+        held = np.array([int(y) for _, y in near])
+        toxic_share = held.mean()
+        if toxic_share <= share or np.average(held, weights=np.take(stands_for, held)) < MARKED_SHARE:
+            continue
+        # Chernoff's bound on so many toxic texts among those with the word.
+        gain = toxic_share * np.log(toxic_share / share)
+        if toxic_share < 1:
+            gain += (1 - toxic_share) * np.log((1 - toxic_share) / (1 - share))
+        if len(words) * np.exp(-len(held) * gain) < BY_CHANCE:
+            strong.add(words[i])
     return [words[i] for i in chosen], strong
 
 
@@ -273,13 +295,13 @@ def support_vectors(x: np.ndarray, y: np.ndarray, cost: float = COST, steps: int
     return w
 
 
-def _calibrate(score: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def _calibrate(score: np.ndarray, toxic: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Probabilities by score: the rising step function that fits the labels
     best (neighbours out of order are pooled), as points to interpolate."""
     order = np.argsort(score, kind="stable")
     pools: list[list[float]] = []  # lowest and highest score, toxic texts, texts
-    for s, t in zip(score[order], toxic[order]):
-        pools.append([float(s), float(s), float(t), 1.0])
+    for s, t, w in zip(score[order], toxic[order], weights[order]):
+        pools.append([float(s), float(s), float(t) * w, w])
         while len(pools) > 1 and pools[-2][2] * pools[-1][3] >= pools[-1][2] * pools[-2][3]:
             _, high, marked, n = pools.pop()
             pools[-1] = [pools[-1][0], high, pools[-1][2] + marked, pools[-1][3] + n]
@@ -290,16 +312,17 @@ def _calibrate(score: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, np.nda
     return table[:, :2].ravel(), np.maximum.accumulate(np.repeat(chances, 2))
 
 
-def train(texts: Sequence[str], toxic: Sequence[bool]) -> Machine:
-    """Learn from labelled texts."""
+def train(texts: Sequence[str], toxic: Sequence[bool], stands_for: tuple[float, float] = (1.0, 1.0)) -> Machine:
+    """Learn from labelled texts; a clean one and a toxic one stand for so many."""
     toxic = np.asarray(toxic, dtype=bool)
-    share = float(toxic.mean()) if len(toxic) else 0.0
-    landmarks, strong = choose_landmarks(texts, toxic) if 0 < share < 1 else ([], set())
+    weights = np.take(stands_for, toxic.astype(int)).astype(float)
+    share = float(np.average(toxic, weights=weights)) if len(toxic) else 0.0
+    landmarks, strong = choose_landmarks(texts, toxic, stands_for) if 0 < share < 1 else ([], set())
     if not strong:
         return _constant(share)
     table = _fit(Kernel(landmarks), strong, texts, toxic)
     best = all_windows(*letters(*_packed(texts)), table)[0]
-    return Machine(table, *_calibrate(best, toxic))
+    return Machine(table, *_calibrate(best, toxic, weights))
 
 
 def _fit(kernel: Kernel, strong: set[str], texts: Sequence[str], toxic: np.ndarray) -> np.ndarray:
@@ -346,16 +369,21 @@ def _fit(kernel: Kernel, strong: set[str], texts: Sequence[str], toxic: np.ndarr
     return table
 
 
-def labelled_texts(docs: DataFrame, labels: DataFrame, usable: Column, limit: int) -> DataFrame:
-    """text and toxic of up to ``limit`` usable labelled rows of each class, by
-    a hash of the id. An id whose labels disagree is left out."""
-    known = (
+def known_labels(labels: DataFrame, usable: Column) -> DataFrame:
+    """_labelled and _toxic of each usable id. One whose labels disagree is left out."""
+    return (
         labels.filter(usable & F.col("doc_id").isNotNull() & F.col("toxic").isNotNull())
         .groupBy(F.col("doc_id").alias("_labelled"))
         .agg(F.min("toxic").alias("_toxic"), F.max("toxic").alias("_most"))
         .filter("_toxic = _most")
         .drop("_most")
     )
+
+
+def labelled_texts(docs: DataFrame, labels: DataFrame, usable: Column, limit: int) -> DataFrame:
+    """text and toxic of up to ``limit`` usable labelled rows of each class, by
+    a hash of the id."""
+    known = known_labels(labels, usable)
     parts = [
         known.filter(test).orderBy(F.xxhash64("_labelled"), "_labelled").limit(limit)
         for test in (F.col("_toxic") == 1, F.col("_toxic") != 1)
@@ -368,10 +396,15 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, usable: Column, limit: in
 
 def learn(docs: DataFrame, labels: DataFrame, usable: Column, limit: int = TRAINING_TEXTS) -> Machine:
     """Train on a bounded sample of the labelled rows that are ``usable`` (a
-    test on the labels' columns)."""
+    test on the labels' columns). The sample has up to ``limit`` rows of each
+    class; probabilities are by the classes' shares of all usable labels."""
     rows = labelled_texts(docs, labels, usable, limit).collect()
     rows.sort(key=lambda r: (r.doc_id, r.text))
-    return train([r.text for r in rows], [r.toxic for r in rows])
+    told = known_labels(labels, usable).groupBy(F.col("_toxic") == 1).count().collect()  # two rows at most
+    stands_for = {bool(is_toxic): max(1.0, n / limit) for is_toxic, n in told}
+    return train(
+        [r.text for r in rows], [r.toxic for r in rows], (stands_for.get(False, 1.0), stands_for.get(True, 1.0))
+    )
 
 
 def score_texts(
