@@ -12,10 +12,13 @@ each block, however often it occurs, so there are no hot words.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import partial
 from typing import Any
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -63,8 +66,25 @@ def unpack(data: bytes, n: int) -> np.ndarray:
     return np.ascontiguousarray(planes.T).view("<u4").reshape(n)
 
 
-def _rows(block: int, kind: int, ids: list, flags: np.ndarray, sizes: np.ndarray, units: pa.Array):
-    """The rows of one block."""
+def pack_rising(values: np.ndarray) -> bytes:
+    """Rising numbers by their steps, and how many there are."""
+    return len(values).to_bytes(4, "little") + pack(np.diff(values, prepend=0))
+
+
+def unpack_rising(data: bytes) -> np.ndarray:
+    return np.cumsum(unpack(data[4:], int.from_bytes(data[:4], "little")), dtype=np.int64)
+
+
+def squeeze(data: bytes) -> bytes:
+    return len(data).to_bytes(4, "little") + pa.compress(data, codec="zstd", asbytes=True)
+
+
+def unsqueeze(data: bytes) -> bytes:
+    return pa.decompress(data[4:], decompressed_size=int.from_bytes(data[:4], "little"), codec="zstd", asbytes=True)
+
+
+def number_words(units: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """The word number of each unit, and the words in order of their numbers."""
     coded = units.dictionary_encode()
     codes = coded.indices.to_numpy(zero_copy_only=False)
     words = coded.dictionary
@@ -72,10 +92,26 @@ def _rows(block: int, kind: int, ids: list, flags: np.ndarray, sizes: np.ndarray
     order = np.argsort(-np.bincount(codes, minlength=len(words)), kind="stable")
     number = np.empty(len(order), dtype=np.int64)
     number[order] = np.arange(len(order))
-    codes, words = number[codes], words.take(pa.array(order))
+    return number[codes], words.take(pa.array(order))
+
+
+def _rows(block: int, kind: int, ids: list, flags: np.ndarray, sizes: np.ndarray, units: pa.Array):
+    """The rows of one block, its words among them."""
+    codes, words = number_words(units)
+    row = dict.fromkeys(_SCHEMA.names) | {"block": block, "kind": kind}
+    yield from _text_rows(row, ids, flags, sizes, codes)
     counted = np.bincount(codes[np.repeat(flags, sizes)], minlength=len(words))
+    for at in range(0, len(words), WORDS_PER_ROW):
+        yield row | {
+            "start": at,
+            "words": words.slice(at, WORDS_PER_ROW).to_pylist(),
+            "counts": counted[at : at + WORDS_PER_ROW].tolist(),
+        }
+
+
+def _text_rows(row: dict, ids: list, flags: np.ndarray, sizes: np.ndarray, codes: np.ndarray):
+    """The documents of one block."""
     ends = np.concatenate([[0], np.cumsum(sizes)])
-    row = dict.fromkeys(_SCHEMA.names) | {"block": block, "kind": kind}
     start = part = 0
     while start < len(ids):
         end = int(np.searchsorted(ends, ends[start] + UNITS_PER_ROW, side="right")) - 1
@@ -88,15 +124,30 @@ def _rows(block: int, kind: int, ids: list, flags: np.ndarray, sizes: np.ndarray
             "codes": pack(codes[ends[start] : ends[end]]),
         }
         start, part = end, part + 1
-    for at in range(0, len(words), WORDS_PER_ROW):
-        yield row | {
-            "start": at,
-            "words": words.slice(at, WORDS_PER_ROW).to_pylist(),
-            "counts": counted[at : at + WORDS_PER_ROW].tolist(),
-        }
 
 
-def _build(split: Split, block_bytes: int):
+def name_of(block: int, words: pa.Array) -> int:
+    """A name for a block: its number and its words, so that a reading of other rows finds nothing."""
+    sizes = pc.binary_length(words).to_numpy(zero_copy_only=False).astype("<u4")
+    raw, _ = texts_of(words)
+    return xxhash.xxh3_64_intdigest(sizes.tobytes() + raw.tobytes(), seed=block) - (1 << 63)
+
+
+def named_texts(block: int, kind: int, ids: list, flags: np.ndarray, sizes: np.ndarray, units: pa.Array):
+    """The documents of one block, for answers that another reading of them brings."""
+    codes, words = number_words(units)
+    row = dict.fromkeys(_SCHEMA.names) | {"block": name_of(block, words), "kind": kind}
+    for made in _text_rows(row, ids, flags, sizes, codes):
+        yield pa.RecordBatch.from_pylist([made], _SCHEMA)
+
+
+def _batches(*block):
+    for row in _rows(*block):
+        yield pa.RecordBatch.from_pylist([row], _SCHEMA)
+
+
+def build(split: Split, block_bytes: int, finish: Callable[..., Iterator[pa.RecordBatch]] = _batches):
+    """Cut the texts of a task into blocks; ``finish`` makes the rows of one."""
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task = TaskContext.get().partitionId()
         made, held, size = 0, {}, 0
@@ -107,8 +158,7 @@ def _build(split: Split, block_bytes: int):
                 ids = [x for p in pieces for x in p[0]]
                 flags, sizes = (np.concatenate([p[i] for p in pieces]) for i in (1, 2))
                 units = pa.concat_arrays([p[3] for p in pieces])
-                for row in _rows((task << 32) | made, kind, ids, flags, sizes, units):
-                    yield pa.RecordBatch.from_pylist([row], _SCHEMA)
+                yield from finish((task << 32) | made, kind, ids, flags, sizes, units)
                 made += 1
             held, size = {}, 0
 
@@ -135,19 +185,23 @@ def _build(split: Split, block_bytes: int):
     return work
 
 
+def flagged(docs: DataFrame) -> DataFrame:
+    """What ``build`` reads: doc_id, text, flag (false unless given), kind (0 unless given)."""
+    return docs.select(
+        "doc_id",
+        "text",
+        F.coalesce(F.col("flag"), F.lit(False)).alias("flag") if "flag" in docs.columns else F.lit(False).alias("flag"),
+        F.coalesce(F.col("kind"), F.lit(0)).cast("int").alias("kind") if "kind" in docs.columns else F.lit(0).alias("kind"),
+    )
+
+
 def build_blocks(
     docs: DataFrame, split: Split, label: str, block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
     """Blocks of ``docs`` (doc_id, text, and where given flag and kind), written
     out. A block holds documents of one kind; ``counts`` are occurrences in
     documents whose flag is true."""
-    given = docs.select(
-        "doc_id",
-        "text",
-        F.coalesce(F.col("flag"), F.lit(False)).alias("flag") if "flag" in docs.columns else F.lit(False).alias("flag"),
-        F.coalesce(F.col("kind"), F.lit(0)).cast("int").alias("kind") if "kind" in docs.columns else F.lit(0).alias("kind"),
-    )
-    return staged(given.mapInArrow(_build(split, block_bytes), BLOCKS), label)
+    return staged(flagged(docs).mapInArrow(build(split, block_bytes), BLOCKS), label)
 
 
 def block_words(blocks: DataFrame) -> DataFrame:
@@ -188,8 +242,9 @@ def with_answers(
     place: Callable[[np.ndarray, list[tuple[int, bytes]]], Any],
     finish: Callable[[Any, dict, np.ndarray], pa.RecordBatch],
     schema: str,
+    codes_of: Callable[[bytes], np.ndarray] = partial(np.frombuffer, dtype="<u4"),
 ) -> DataFrame:
-    """Bring answers back to their blocks.
+    """Bring answers back to their blocks; ``codes_of`` reads their word numbers.
 
     ``place(codes, answers)`` makes a block's table from its word numbers and
     the answers to them, as (how many, bytes). ``finish(table, row, units)``
@@ -217,11 +272,11 @@ def with_answers(
                 if row["block"] != block:
                     block, codes, found, table = row["block"], [], [], None
                 if row["part"] < 0:
-                    codes.append(row["codes"])
-                    found.append((len(row["codes"]) // 4, row["answers"]))
+                    codes.append(codes_of(row["codes"]).astype(np.int64))
+                    found.append((len(codes[-1]), row["answers"]))
                     continue
                 if table is None:
-                    table = place(np.frombuffer(b"".join(codes), dtype="<u4").astype(np.int64), found)
+                    table = place(np.concatenate(codes) if codes else np.zeros(0, np.int64), found)
                 yield finish(table, row, unpack(row["codes"], sum(row["sizes"])))
 
     both = told.unionByName(texts).repartition("block").sortWithinPartitions("block", "part")

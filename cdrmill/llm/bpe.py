@@ -26,8 +26,23 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .blocks import ANSWERS, build_blocks, with_answers
-from .common import partitions
+from .blocks import (
+    ANSWERS,
+    BLOCKS,
+    build,
+    flagged,
+    name_of,
+    named_texts,
+    number_words,
+    pack,
+    pack_rising,
+    squeeze,
+    unpack,
+    unpack_rising,
+    unsqueeze,
+    with_answers,
+)
+from .common import partitions, texts_of
 
 # White space (Unicode White_Space) as the tokenizer's pattern sees it.
 WHITE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -88,7 +103,7 @@ def make_splitter(added: list[str]):
 # Text in a block: a task codes and decodes a block in memory.
 BLOCK_BYTES = 16 << 20
 # Words are shuffled in buckets, so many for each shuffle partition.
-BUCKETS_PER_PARTITION = 48
+BUCKETS_PER_PARTITION = 16
 BUCKETED = "bucket long, block long, codes binary, lengths binary, words binary"
 # Parts units that are given to the tokenizer together; it stands alone there,
 # as only units of white space hold it.
@@ -169,41 +184,35 @@ def encoder_of(text: str) -> Encoder:
 
 
 def _to_buckets(buckets: int):
-    """Rows of words of blocks -> one row for each bucket (by a hash of the
-    word) and block: the words' lengths and bytes, and their numbers."""
-
-    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column("words")
-            words = lists.flatten().cast(pa.large_binary())
-            sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
-            if not len(words):
-                continue
-            first = np.repeat(batch.column("start").to_numpy(), sizes)
-            codes = first + np.arange(len(words)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            blocks = np.repeat(batch.column("block").to_numpy(), sizes)
-            bucket = np.fromiter((xxhash.xxh3_64_intdigest(w) % buckets for w in words.to_pylist()), np.int64, len(words))
-            order = np.lexsort((codes, blocks, bucket))
-            bucket, blocks, codes = bucket[order], blocks[order], codes[order]
-            words = words.take(pa.array(order))
-            lengths = pc.binary_length(words).to_numpy(zero_copy_only=False).astype("<u4")
-            ends = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
-            raw = np.frombuffer(words.buffers()[2] or b"", np.uint8)[int(np.frombuffer(words.buffers()[1], np.int64)[words.offset]) :].tobytes()
-            new = (bucket[1:] != bucket[:-1]) | (blocks[1:] != blocks[:-1])
-            cuts = np.concatenate([[0], np.flatnonzero(new) + 1, [len(codes)]])
-            spans = list(zip(cuts[:-1], cuts[1:]))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(bucket[cuts[:-1]]),
-                    pa.array(blocks[cuts[:-1]]),
-                    pa.array([codes[i:j].astype("<u4").tobytes() for i, j in spans], pa.binary()),
-                    pa.array([lengths[i:j].tobytes() for i, j in spans], pa.binary()),
-                    pa.array([raw[ends[i] : ends[j]] for i, j in spans], pa.binary()),
-                ],
-                ["bucket", "block", "codes", "lengths", "words"],
-            )
-
-    return work
+    """The words of a block -> one row for each bucket (by a hash of the word):
+    the words' lengths and bytes, and their numbers."""
+
+    def rows(block: int, kind: int, ids: list, flags: np.ndarray, sizes: np.ndarray, units: pa.Array):
+        _, words = number_words(units)
+        if not len(words):
+            return
+        name = name_of(block, words)
+        words = words.cast(pa.large_binary())
+        bucket = np.fromiter((xxhash.xxh3_64_intdigest(w) % buckets for w in words.to_pylist()), np.int64, len(words))
+        order = np.argsort(bucket, kind="stable")
+        bucket, words = bucket[order], words.take(pa.array(order))
+        lengths = pc.binary_length(words).to_numpy(zero_copy_only=False)
+        ends = np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])
+        raw = texts_of(words.cast(pa.large_string()))[0].tobytes()
+        cuts = np.concatenate([[0], np.flatnonzero(np.diff(bucket)) + 1, [len(order)]])
+        spans = list(zip(cuts[:-1], cuts[1:]))
+        yield pa.RecordBatch.from_arrays(
+            [
+                pa.array(bucket[cuts[:-1]]),
+                pa.array([name] * len(spans), pa.int64()),
+                pa.array([pack_rising(order[i:j]) for i, j in spans], pa.binary()),
+                pa.array([pack(lengths[i:j]) for i, j in spans], pa.binary()),
+                pa.array([squeeze(raw[ends[i] : ends[j]]) for i, j in spans], pa.binary()),
+            ],
+            ["bucket", "block", "codes", "lengths", "words"],
+        )
+
+    return rows
 
 
 def _encode_words(shared):
@@ -214,9 +223,9 @@ def _encode_words(shared):
         encoder = encoder_of(shared.value)
 
         def answer(rows: list[dict]) -> pa.RecordBatch:
-            lengths = [np.frombuffer(r["lengths"], "<u4") for r in rows]
+            lengths = [unpack(r["lengths"], int.from_bytes(r["codes"][:4], "little")) for r in rows]
             offsets = np.concatenate([[0], np.cumsum(np.concatenate(lengths), dtype=np.int64)])
-            texts = b"".join(r["words"] for r in rows)
+            texts = b"".join(unsqueeze(r["words"]) for r in rows)
             words = pa.LargeStringArray.from_buffers(
                 len(offsets) - 1, pa.py_buffer(offsets.astype("<i8").tobytes()), pa.py_buffer(texts)
             )
@@ -226,7 +235,9 @@ def _encode_words(shared):
             at = coded.indices.to_numpy(zero_copy_only=False)
             picked = np.split(at, np.cumsum([len(x) for x in lengths])[:-1])
             found = [
-                sizes[w].astype("<u4").tobytes() + expand(w, starts, sizes, values).astype(encoder.kind).tobytes()
+                squeeze(
+                    _planes(sizes[w].astype("<u4")) + _planes(expand(w, starts, sizes, values).astype(encoder.kind))
+                )
                 for w in picked
             ]
             return pa.RecordBatch.from_arrays(
@@ -259,13 +270,27 @@ def expand(codes: np.ndarray, starts: np.ndarray, sizes: np.ndarray, values: np.
     return values[np.repeat(starts[codes] - before, took) + np.arange(int(took.sum()))]
 
 
+def _planes(values: np.ndarray) -> bytes:
+    """Bytes by their places in a number, which compress better."""
+    return np.ascontiguousarray(values.view(np.uint8).reshape(-1, values.itemsize).T).tobytes()
+
+
+def _from_planes(data: bytes, kind: str) -> np.ndarray:
+    planes = np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).reshape(-1)
+
+
 def _place(kind: str, codes: np.ndarray, found: list[tuple[int, bytes]]):
     """Starts, sizes and ids by word number."""
-    sizes, starts = np.zeros(len(codes), np.int64), np.zeros(len(codes), np.int64)
+    n_words = int(codes.max()) + 1 if len(codes) else 0
+    if len(np.unique(codes)) != n_words:
+        raise ValueError("the rows read for the words and for the texts differ; write them to a table first")
+    sizes, starts = np.zeros(n_words, np.int64), np.zeros(n_words, np.int64)
     if not found:
         return starts, sizes, np.zeros(0, "<u4")
-    came = np.concatenate([np.frombuffer(d, "<u4", count=n) for n, d in found]).astype(np.int64)
-    ids = np.concatenate([np.frombuffer(d, kind, offset=4 * n) for n, d in found]).astype("<u4")
+    told = [(n, unsqueeze(d)) for n, d in found]
+    came = np.concatenate([_from_planes(d[: 4 * n], "<u4") for n, d in told]).astype(np.int64)
+    ids = np.concatenate([_from_planes(d[4 * n :], kind) for n, d in told]).astype("<u4")
     ends = np.cumsum(came)
     sizes[codes], starts[codes] = came, ends - came
     return starts, sizes, ids
@@ -273,6 +298,8 @@ def _place(kind: str, codes: np.ndarray, found: list[tuple[int, bytes]]):
 
 def _documents(table, row: dict, units: np.ndarray) -> pa.RecordBatch:
     starts, sizes, values = table
+    if len(units) and units.max() >= len(sizes):
+        raise ValueError("the rows read for the words and for the texts differ; write them to a table first")
     raw = expand(units, starts, sizes, values).tobytes()
     before = np.concatenate([[0], np.cumsum(sizes[units])])
     ends = before[np.concatenate([[0], np.cumsum(row["sizes"])]).astype(np.int64)]
@@ -290,17 +317,22 @@ ENCODED = "doc_id long, n_tokens long, ids binary"
 
 
 def encode(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
-    """doc_id, n_tokens and ids (little-endian unsigned 32-bit) for each row."""
+    """doc_id, n_tokens and ids (little-endian unsigned 32-bit) for each row.
+
+    ``docs`` is read twice, for the words and for the texts, and must give the
+    same rows in the same partitions: a table, or columns of one. Otherwise the
+    blocks do not find their words, and the job fails.
+    """
     text = vocabulary_text(tokenizer or default_tokenizer())
     shared = docs.sparkSession.sparkContext.broadcast(text)
-    given = docs.select(F.col("doc_id").cast("long"), "text")
-    blocks = build_blocks(given, make_splitter(added_tokens(text)), "bpe_blocks", BLOCK_BYTES)
+    given = flagged(docs.select(F.col("doc_id").cast("long"), "text"))
+    split = make_splitter(added_tokens(text))
+    blocks = given.mapInArrow(build(split, BLOCK_BYTES, named_texts), BLOCKS)
     buckets = BUCKETS_PER_PARTITION * partitions(docs.sparkSession)
-    words = blocks.filter(F.col("words").isNotNull()).select("block", "start", "words")
-    words = words.mapInArrow(_to_buckets(buckets), BUCKETED)
+    words = given.mapInArrow(build(split, BLOCK_BYTES, _to_buckets(buckets)), BUCKETED)
     words = words.repartition("bucket").sortWithinPartitions("bucket")
     answers = words.mapInArrow(_encode_words(shared), ANSWERS)
-    return with_answers(blocks, answers, partial(_place, id_kind(text)), _documents, ENCODED)
+    return with_answers(blocks, answers, partial(_place, id_kind(text)), _documents, ENCODED, unpack_rising)
 
 
 def _byte_of() -> dict[str, int]:
