@@ -126,17 +126,18 @@ def _text_rows(row: dict, ids: list, flags: np.ndarray, sizes: np.ndarray, codes
         start, part = end, part + 1
 
 
-def name_of(block: int, words: pa.Array) -> int:
-    """A name for a block: its number and its words, so that a reading of other rows finds nothing."""
+def name_of(ids: list, words: pa.Array) -> int:
+    """A name for a block by its documents' ids and its words, so that a reading of other rows finds nothing."""
+    seed = xxhash.xxh3_64_intdigest(repr(ids))
     sizes = pc.binary_length(words).to_numpy(zero_copy_only=False).astype("<u4")
     raw, _ = texts_of(words)
-    return xxhash.xxh3_64_intdigest(sizes.tobytes() + raw.tobytes(), seed=block) - (1 << 63)
+    return xxhash.xxh3_64_intdigest(sizes.tobytes() + raw.tobytes(), seed=seed) - (1 << 63)
 
 
 def named_texts(block: int, kind: int, ids: list, flags: np.ndarray, sizes: np.ndarray, units: pa.Array):
     """The documents of one block, for answers that another reading of them brings."""
     codes, words = number_words(units)
-    row = dict.fromkeys(_SCHEMA.names) | {"block": name_of(block, words), "kind": kind}
+    row = dict.fromkeys(_SCHEMA.names) | {"block": name_of(ids, words), "kind": kind}
     for made in _text_rows(row, ids, flags, sizes, codes):
         yield pa.RecordBatch.from_pylist([made], _SCHEMA)
 

@@ -191,7 +191,7 @@ def _to_buckets(buckets: int):
         _, words = number_words(units)
         if not len(words):
             return
-        name = name_of(block, words)
+        name = name_of(ids, words)
         words = words.cast(pa.large_binary())
         bucket = np.fromiter((xxhash.xxh3_64_intdigest(w) % buckets for w in words.to_pylist()), np.int64, len(words))
         order = np.argsort(bucket, kind="stable")
@@ -282,6 +282,7 @@ def _from_planes(data: bytes, kind: str) -> np.ndarray:
 
 def _place(kind: str, codes: np.ndarray, found: list[tuple[int, bytes]]):
     """Starts, sizes and ids by word number."""
+    # Blocks of equal rows have one name, so a word may be told twice.
     n_words = int(codes.max()) + 1 if len(codes) else 0
     if len(np.unique(codes)) != n_words:
         raise ValueError("the rows read for the words and for the texts differ; write them to a table first")
