@@ -260,7 +260,7 @@ class Kernel:
         end = offsets[np.searchsorted(offsets, at, side="right")]
         spans = at[:, None] + np.arange(WINDOW)
         near = np.concatenate([codes, np.zeros(WINDOW + SPAN, codes.dtype)])
-        out = np.zeros((len(at), self.mapped.shape[1]))
+        out = np.zeros((len(at), self.mapped.shape[1]), dtype=np.float32)
         # The windows alone, one after another with their surroundings.
         cut = near[at[:, None] + np.arange(WINDOW + SPAN)]
         for index, weight in occurrences(cut.ravel()):
@@ -281,14 +281,18 @@ class Kernel:
 def support_vectors(x: np.ndarray, y: np.ndarray, cost: float = COST, steps: int = 30) -> np.ndarray:
     """Linear machine with squared hinge loss (Newton steps on the rows inside
     the margin); the last weight is the offset."""
-    x = np.hstack([x, np.ones((len(x), 1))])
-    w = np.zeros(x.shape[1])
-    keep = np.eye(x.shape[1])
+    w = np.zeros(x.shape[1] + 1)
+    keep = np.eye(len(w))
     keep[-1, -1] = 1e-3
     for _ in range(steps):
-        inside = y * (x @ w) < 1
-        rows = x[inside]
-        new = np.linalg.solve(keep + 2 * cost * rows.T @ rows, 2 * cost * rows.T @ y[inside])
+        square, goal = np.zeros_like(keep), np.zeros_like(w)
+        for at in range(0, len(x), 4096):  # so many rows are held as doubles
+            some, sign = x[at : at + 4096].astype(np.float64), y[at : at + 4096]
+            some = np.hstack([some, np.ones((len(some), 1))])
+            inside = sign * (some @ w) < 1
+            square += some[inside].T @ some[inside]
+            goal += some[inside].T @ sign[inside]
+        new = np.linalg.solve(keep + 2 * cost * square, 2 * cost * goal)
         if np.allclose(new, w, atol=1e-9):
             break
         w = new
