@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import staged, texts_of
+from .common import CHUNK_BYTES, staged, texts_of
 
 # Text that a block holds (or one longer document).
 BLOCK_BYTES = 24 << 20
@@ -162,12 +162,15 @@ def build(split: Split, block_bytes: int, finish: Callable[..., Iterator[pa.Reco
                 yield from finish((task << 32) | made, kind, ids, flags, sizes, units)
                 made += 1
             held, size = {}, 0
+            pa.default_memory_pool().release_unused()
 
         for batch in batches:
             _, offsets = texts_of(batch.column("text"))
             start = 0
             while start < batch.num_rows:
-                end = int(np.searchsorted(offsets, offsets[start] + block_bytes - size, side="right")) - 1
+                # Split a piece at a time: that takes several times its size.
+                room = min(block_bytes - size, CHUNK_BYTES)
+                end = int(np.searchsorted(offsets, offsets[start] + room, side="right")) - 1
                 end = min(max(end, start + 1), batch.num_rows)
                 piece = batch.slice(start, end - start)
                 kinds = piece.column("kind").to_numpy(zero_copy_only=False)

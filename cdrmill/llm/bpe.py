@@ -381,6 +381,7 @@ def decode(encoded: DataFrame, vocabulary: DataFrame) -> DataFrame:
                     texts.append(b"".join(map(known.__getitem__, ids)).decode("utf-8", "replace"))
                 arrays = [*some.columns, pa.array(texts, pa.string())]
                 yield pa.RecordBatch.from_arrays(arrays, [*some.schema.names, "decoded"])
+            pa.default_memory_pool().release_unused()
 
     return encoded.mapInArrow(work, schema)
 
