@@ -379,3 +379,26 @@ def test_crc_folds(spark):
 
     rows = spark.createDataFrame([(5,), (None,)], "doc_id long").select("doc_id", crc_of_id().alias("c")).collect()
     assert {r.c for r in rows} == {zlib.crc32(b"5"), 0}
+
+
+def test_leaks_of_a_large_benchmark(spark, docs_of):
+    """More half passages than directions of a block, an item of common words only, a long one."""
+    def text(seed, n):
+        rng = np.random.default_rng(seed)
+        common, rare = rng.integers(0, 8, n), rng.integers(8, 4000, n)
+        return " ".join(WORDS[c] if often else f"v{r}" for c, r, often in zip(common, rare, rng.random(n) < 0.25))
+
+    items = [text(3000 + i, 40) for i in range(300)] + ["the of the of and and to the of of the in", text(4000, latent.RANK * latent.HALF + 900)]
+    planted = [*range(0, 300, 6), 300, 301]
+    texts = [text(i, 150) for i in range(400)]
+    texts += [text(5000 + i, 77) + " " + items[i] + " " + text(6000 + i, 61) for i in planted]
+    # Nine words in ten of an item, in order.
+    texts += [text(7000 + i, 50) + " " + " ".join(w for k, w in enumerate(items[i].split()) if k % 10 != 4) for i in range(3, 300, 60)]
+    benchmark = spark.createDataFrame([*enumerate(items)], "item_id long, text string")
+    rows = latent.find_leaks(docs_of(texts), benchmark).collect()
+    found = {(r.doc_id, r.item_id): r for r in rows}
+    copies = {(400 + k, i) for k, i in enumerate(planted)}
+    assert set(found) == copies | {(400 + len(planted) + k, i) for k, i in enumerate(range(3, 300, 60))}
+    for doc, item in copies:
+        r = found[doc, item]
+        assert r.alike == 1.0 and (r.first_word, r.last_word) == (77, 77 + len(items[item].split()))
