@@ -402,3 +402,18 @@ def test_leaks_of_a_large_benchmark(spark, docs_of):
     for doc, item in copies:
         r = found[doc, item]
         assert r.alike == 1.0 and (r.first_word, r.last_word) == (77, 77 + len(items[item].split()))
+
+
+def test_repeated_short_sentences(docs_of):
+    """Passages of sentences of one and two words, whole and inside of other texts."""
+    rng = np.random.default_rng(8)
+    passage = " ".join(f"w{i}!!" if i % 3 else f"{WORDS[i % 20]} w{i}." for i in rng.integers(0, 400, 60))
+    new = " ".join(f"n{i}!" for i in range(40))
+    mixed = " ".join(f"{passage.split(' ')[i % 50]} m{i}!" for i in range(40))
+    texts = [passage, passage, prose(1, 40) + ". " + passage + "\n" + prose(2, 40), new + " " + passage + " q! r!", mixed,
+             "z! " * 50]
+    rows = {r.doc_id: r for r in lines.remove_repeats(docs_of(texts)).collect()}
+    assert rows[0].text == passage and rows[1].text == ""
+    assert rows[2].text.split() == (prose(1, 40) + ". " + prose(2, 40)).split()
+    assert rows[3].text == new + " q! r!"
+    assert rows[4].text == mixed and rows[5].text.split() == ["z!"] * lines.TOGETHER
