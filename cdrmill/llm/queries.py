@@ -50,7 +50,7 @@ def op1_warc_zip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cut = lines.remove_repeats(table(spark, sf_dir, "documents"))
+    cut = lines.remove_repeats(table(spark, sf_dir, "documents"), whole_lines=True)
     return cut.select("doc_id", "text", "removed", "n_units", "n_removed")
 
 

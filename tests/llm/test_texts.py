@@ -417,3 +417,18 @@ def test_repeated_short_sentences(docs_of):
     assert rows[2].text.split() == (prose(1, 40) + ". " + prose(2, 40)).split()
     assert rows[3].text == new + " q! r!"
     assert rows[4].text == mixed and rows[5].text.split() == ["z!"] * lines.TOGETHER
+
+
+def test_repeated_lines_of_any_length(spark, docs_of, tmp_path):
+    from cdrmill.llm.queries import op2_line_dedup
+
+    common = "A line of nine words in all the texts"
+    texts = [f"{common}\n{prose(i, 30)}\n- item\n{common}\n\nlast {i}" for i in range(5)] + [common + " and more."]
+    docs_of(texts).write.parquet(f"{tmp_path}/documents.parquet")
+    rows = {r.doc_id: r for r in op2_line_dedup(spark, str(tmp_path)).collect()}
+    assert rows[0].text == f"{common}\n{prose(0, 30)}\n- item\nlast 0"
+    for i in range(1, 5):
+        assert rows[i].text == f"{prose(i, 30)}\nlast {i}"
+        for span in rows[i].removed:
+            assert span.kept_doc == 0 and set(texts[i][span.start : span.end].split("\n")) <= {common, "- item", ""}
+    assert rows[5].text == texts[5]
