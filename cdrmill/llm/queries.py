@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, forest, latent, lines, ppm, shards, token_files, topk, toxicity, warc
+from . import align, bpe, chat, forest, latent, lines, ppm, repair, shards, token_files, topk, toxicity, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -128,3 +128,38 @@ def op9_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return ppm.score_texts(docs.withColumn("train", crc_of_id() % 7 != 2))
+
+
+@query()
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned = align.align_tokens(table(spark, sf_dir, "documents"), digest=True)
+    return aligned.withColumnRenamed("groups", "groups_sha256")
+
+
+@query(
+    r"""
+    WITH c AS (
+        SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+        UNION ALL SELECT -7, turn, role, '\### Assistant: </turn> ok' FROM (VALUES (0, 'user'), (1, 'assistant')) v(turn, role)
+    ), e AS (
+        SELECT *, replace(replace(replace(text, '\', '\\'), '###', '\###'), '</turn>', '\</turn>') AS body,
+               replace(replace(replace(replace(role, '\', '\\'), '###', '\###'), '</turn>', '\</turn>'), ':', '\:') AS head
+        FROM c
+    )
+    SELECT conv_id, count(*) AS n_turns,
+           sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text)) AS turns_sha256,
+           coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0)::BIGINT AS loss_chars,
+           sha256(coalesce(string_agg(text, '' ORDER BY turn NULLS FIRST, role, text)
+                           FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+           sum(length('### ' || head || ': ' || body || '</turn>' || chr(10)))::BIGINT AS formatted_chars
+    FROM e GROUP BY conv_id
+    """
+)
+def op12_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = chat.with_example(table(spark, sf_dir, "conversations"))
+    return chat.read_back(chat.format_conversations(rows))
+
+
+@query()
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair.digests(repair.repair(repair.damaged(table(spark, sf_dir, "conversations"))))
