@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 
 from ..functions.text import fixed, null_to
 from ..sentinels import BLANK, FLAG_DIRECT, FLAG_MM, FLAG_MTD, MISSING_ID, UNKNOWN, ZERO
-from .lookup import HotKeys, lookup, set_aside
+from .lookup import lookup
+from .salted import KeyCounts, add_salt, is_small
+from .skew import HOT_ROWS
 
 SUBSCRIBER_COLUMNS = ("subs_id", "cust_type_desc", "cust_subtype_desc")
 
@@ -43,7 +45,8 @@ def enrich_subscriber(
     null_attributes_too: bool = False,
     unique: bool = True,
     prefer: Sequence[str] = (),
-    hot: HotKeys | None = None,
+    spread_by: Sequence[str] = (),
+    counts: KeyCounts | None = None,
 ) -> DataFrame:
     """Add the subscriber columns named in ``defaults``.
 
@@ -58,7 +61,8 @@ def enrich_subscriber(
         hit="_found",
         unique=unique,
         prefer=prefer,
-        hot=hot,
+        spread_by=spread_by,
+        counts=counts,
     )
     values = {}
     for c, default in defaults.items():
@@ -78,7 +82,7 @@ def enrich_dominant_location(
     *,
     unique: bool = True,
     take_also: Mapping[str, str] | None = None,
-    hot: HotKeys | None = None,
+    counts: KeyCounts | None = None,
 ) -> DataFrame:
     """Add one history block: ``<prefix>_lacci_id``, ... and ``<prefix>_flag``.
 
@@ -87,7 +91,7 @@ def enrich_dominant_location(
     """
     take = {f"{prefix}_{name}": source for name, source in columns.items()}
     found = lookup(
-        df, history, on, {**take, **(take_also or {})}, hit="_found", unique=unique, hot=hot
+        df, history, on, {**take, **(take_also or {})}, hit="_found", unique=unique, counts=counts
     )
     values = {
         f"{prefix}_{name}": F.when(F.col("_found"), F.col(f"{prefix}_{name}")).otherwise(
@@ -111,14 +115,13 @@ def fill_location_from_history(
     blank_blocks: bool = False,
     flag_on_equal_id: bool = False,
     spread_by: Sequence[str] = (),
-    hot: HotKeys | None = None,
+    counts: KeyCounts | None = None,
 ) -> DataFrame:
     """Fill a missing location from this month's, then last month's history.
 
     Adds ``find_flag``: "1#" or "2#" for a location out of history, "0" for the
     record's own (or none). The location defaults to "-99". Records of the
-    unknown subscriber "-99" have no history; ``spread_by`` spreads them, and
-    the records of the ``hot`` subscribers.
+    unknown subscriber "-99" have no history. ``counts`` are those of ``key``.
     """
     own = F.nullif(F.col(location), F.lit("|"))
     if blank_blocks:
@@ -126,11 +129,12 @@ def fill_location_from_history(
     else:
         own = F.nullif(own, F.lit(BLANK))
     both = df.withColumn("_subs", F.nullif(F.col(key), F.lit(MISSING_ID)))
-    aside = HotKeys("_subs", hot.values if hot else ())
-    if spread_by:
-        both = set_aside(both, aside, spread_by)
+    own_key = {"_subs": F.nullif(F.col(key), F.lit(MISSING_ID))}
+    found_in = KeyCounts(both, ["_subs"]) if counts is None else KeyCounts(counts.rows, own_key, counts.hot_rows)
+    if not (is_small(mtd) and is_small(mm)):
+        both = add_salt(both, found_in, spread_by)
     for name, history, (subs, where) in (("_mtd", mtd, mtd_columns), ("_mm", mm, mm_columns)):
-        both = lookup(both, history, {"_subs": subs}, {name: where}, hot=aside if spread_by else None)
+        both = lookup(both, history, {"_subs": subs}, {name: where}, counts=found_in)
     both = both.withColumn("_own", own).withColumn("_where", F.coalesce("_own", "_mtd", "_mm"))
     if flag_on_equal_id:
         from_mtd = F.col("_mtd") == F.col("_where")
@@ -145,7 +149,7 @@ def fill_location_from_history(
     )
     return both.withColumns(
         {"find_flag": flag, location: null_to("_where", MISSING_ID)}
-    ).drop("_subs", aside.cold, "_mtd", "_mm", "_own", "_where")
+    ).drop("_subs", found_in.salt, "_mtd", "_mm", "_own", "_where")
 
 
 def join_phone_prefix(
@@ -158,7 +162,11 @@ def join_phone_prefix(
     width: int = 8,
     hit: str = "prefix_found",
     unique: bool = True,
+    spread_by: Sequence[str] = (),
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Look up the first ``width`` digits of the phone number."""
     keyed = df.withColumn("_prefix", fixed(phone, 1, width))
-    return lookup(keyed, prefixes, {"_prefix": prefix}, take, hit=hit, unique=unique).drop("_prefix")
+    counts = KeyCounts(df, {"_prefix": fixed(phone, 1, width)}, hot_rows)
+    options = {"hit": hit, "unique": unique, "spread_by": spread_by, "counts": counts}
+    return lookup(keyed, prefixes, {"_prefix": prefix}, take, **options).drop("_prefix")

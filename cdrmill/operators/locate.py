@@ -22,7 +22,8 @@ from ..sentinels import (
     PACKED_UNRESOLVED,
     UNKNOWN,
 )
-from .lookup import HotKeys, lookup
+from .lookup import lookup
+from .salted import KeyCounts
 from .skew import keep_one
 
 Slice = tuple[int, int | None]
@@ -128,7 +129,7 @@ def lookup_location(
     index: DataFrame,
     location: str = "trx_lacci",
     spread_by: Sequence[str] = (),
-    hot: HotKeys | None = None,
+    counts: KeyCounts | None = None,
 ) -> DataFrame:
     """One lookup of ``location`` in a ``location_index``; null where missed."""
     take = {c: c for c in index.columns if c not in ("loc_key", "loc_priority")}
@@ -140,7 +141,7 @@ def lookup_location(
         hit="location_found",
         unique=False,
         spread_by=spread_by,
-        hot=HotKeys(location, hot.values) if hot else None,
+        counts=counts,
     )
 
 
@@ -242,7 +243,7 @@ def match_location(
     take_also: Sequence[str] = (),
     unique: bool = True,
     spread_by: Sequence[str] = (),
-    hot: HotKeys | None = None,
+    counts: KeyCounts | None = None,
 ) -> DataFrame:
     """Look each record up in the master column its ``kind`` names: one join
     for all kinds, on (kind, key).
@@ -259,16 +260,19 @@ def match_location(
             master.select(F.lit(key).alias("_kind"), F.col(key).alias("_key"), *payload)
         )
     index = reduce(DataFrame.unionByName, layers)
-    keyless = is_blank(location) | (F.col(location) == "|")
+    searched = F.when(~(is_blank(location) | (F.col(location) == "|")), F.col(location))
+    if counts is not None:
+        # Cells are counted alone: a cell is looked up in one or two columns.
+        counts = KeyCounts(counts.rows, {"_search": searched}, counts.hot_rows)
     return lookup(
-        df.withColumn("_search", F.when(~keyless, F.col(location))),
+        df.withColumn("_search", searched),
         index,
         {kind: "_kind", "_search": "_key"},
         {f"m_{c}": f"m_{c}" for c in columns},
         hit="m_found",
         unique=unique,
         spread_by=spread_by,
-        hot=HotKeys("_search", hot.values if hot else ()) if spread_by else None,
+        counts=counts,
     ).drop("_search")
 
 

@@ -1,94 +1,41 @@
 """Left lookups into a dimension.
 
-A dimension is broadcast only when Spark measures it below its threshold;
-otherwise records and dimension are shuffled by key. A hot record key would
-then fill one task, so hot keys are found first (``find_hot_keys``), their few
-dimension rows travel as a checked, bounded broadcast, and the hot records are
-spread over the shuffle, where they match nothing. AQE cannot do this here: it
-splits a join only when both inputs come straight from a shuffle, and chained
-lookups share one.
+A dimension that Spark measures below its threshold is broadcast. Otherwise
+records and dimension are shuffled by key, and by a salt where a key is hot or
+missing (``salted``). AQE cannot do this here: it splits a join only when both
+inputs come straight from a shuffle, and chained lookups share one.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import all_of, as_col
-from .skew import HOT_ROWS, hot_keys, keep_one
-
-# Records without a usable key are spread over this many groups.
-SPREAD = 1_024
-# Starts a key that no dimension holds.
-NO_KEY = "\u0001"
-# Dimension rows of hot keys that may be broadcast.
-MOST_HOT_DIM_ROWS = 10_000
-
-
-@dataclass(frozen=True)
-class HotKeys:
-    """Hot values of one (text) record column, at most skew.MOST_HOT."""
-
-    column: str
-    values: tuple[str, ...]
-
-    @property
-    def cold(self) -> str:
-        """Column that holds the key of all but the hot records."""
-        return f"_cold_{self.column}"
-
-    def test(self) -> Column:
-        return F.col(self.column).isin(*self.values) if self.values else F.lit(False)
-
-
-def find_hot_keys(df: DataFrame, column: str, hot_rows: int | None = HOT_ROWS) -> HotKeys:
-    """Runs a count over one column of ``df``; None skips it."""
-    found = None
-    if hot_rows is not None:
-        found = hot_keys(df.filter(F.col(column).isNotNull()), [column], hot_rows)
-    return HotKeys(column, tuple(r[0] for r in found.collect()) if found is not None else ())
+from .salted import NO_KEY, KeyCounts, add_salt, is_small, replicate
+from .skew import keep_one
 
 
 def spread_key(
     key: Column | str, by: Sequence[str], missing: Column | None = None, mark: str = NO_KEY
 ) -> Column:
-    """``key``, or where it is missing one of SPREAD keys that match nothing.
+    """``key``, or where it is missing a key of the row's own that matches nothing.
 
     Keeps the key-less records of an outer join from meeting in one task. The
-    choice is a function of the row (give ``by`` what tells rows apart), so a
+    key is a function of the row (give ``by`` what tells rows apart), so a
     retried task chooses the same.
     """
     key = as_col(key)
     missing = key.isNull() if missing is None else missing
-    group = F.pmod(F.xxhash64(*by), F.lit(SPREAD)).cast("string")
-    return F.when(missing, F.concat(F.lit(mark), group)).otherwise(key)
+    return F.when(missing, F.concat(F.lit(mark), F.xxhash64(*by).cast("string"))).otherwise(key)
 
 
 def is_spread(key: Column | str) -> Column:
     return as_col(key).startswith(NO_KEY)
 
 
-def set_aside(df: DataFrame, hot: HotKeys, spread_by: Sequence[str]) -> DataFrame:
-    """Add the cold key column. Do it once ahead of a chain of lookups by the
-    same key: they then share one shuffle."""
-    missing = F.col(hot.column).isNull()
-    if hot.values:
-        missing = missing | hot.test()
-    return df.withColumn(hot.cold, spread_key(hot.column, spread_by, missing))
-
-
-def _hot_rows_of(side: DataFrame, key: str, hot: HotKeys) -> DataFrame | None:
-    """The dimension rows of the hot keys as a local DataFrame, or None when
-    there are too many to broadcast."""
-    rows = side.filter(F.col(key).isin(*hot.values)).limit(MOST_HOT_DIM_ROWS + 1).collect()
-    if len(rows) > MOST_HOT_DIM_ROWS:
-        return None
-    return side.sparkSession.createDataFrame(rows, side.schema)
-
-
 def lookup(
     df: DataFrame,
     dim: DataFrame,
@@ -99,7 +46,7 @@ def lookup(
     unique: bool = True,
     prefer: Sequence[str] = (),
     spread_by: Sequence[str] = (),
-    hot: HotKeys | None = None,
+    counts: KeyCounts | None = None,
 ) -> DataFrame:
     """Left join ``dim`` and take some of its columns.
 
@@ -107,8 +54,8 @@ def lookup(
     dimension column (an output name may replace a record column). ``hit``
     names a boolean "found" column. With ``unique`` one dimension row per key
     is kept, the smallest by ``prefer``; without it duplicates multiply the
-    records. ``spread_by`` spreads records whose (text) key is null; ``hot``
-    also those with a hot key, which then get their row by broadcast.
+    records. Keys are counted in ``df`` unless ``counts`` (of some of the ``on``
+    columns) says where. ``spread_by`` names the columns that tell records apart.
     """
     key_of = {right: f"_d{i}" for i, right in enumerate(dict.fromkeys(on.values()))}
     keys = list(key_of.values())
@@ -121,38 +68,20 @@ def lookup(
         side = keep_one(side, keys, [f"_p_{c}" for c in prefer])
     side = side.drop(*[f"_p_{c}" for c in prefer])
 
-    hot_side = None
-    if hot is not None and hot.values:
-        hot_side = _hot_rows_of(side, key_of[on[hot.column]], hot)
-    given = hot is not None and hot.cold in df.columns
-    if hot is not None and not given and (hot.values or spread_by):
-        df = set_aside(df, hot if hot_side is not None else HotKeys(hot.column, ()), spread_by)
-    use_cold = hot is not None and hot.cold in df.columns and (hot_side is not None or not hot.values)
-
-    conditions = []
-    for left, right in on.items():
-        if use_cold and left == hot.column:
-            key = F.col(hot.cold)
-        else:
-            key = spread_key(left, spread_by) if spread_by and hot is None else F.col(left)
-        conditions.append(key == F.col(key_of[right]))
-    joined = df.join(side, all_of(conditions), "left")
-    found = F.col(keys[0]).isNotNull()
+    counts = KeyCounts(df, list(on)) if counts is None else counts
+    given = counts.salt in df.columns
+    same = {left: F.col(left) == F.col(key_of[right]) for left, right in on.items()}
+    if given or not is_small(side):
+        last = list(counts.columns)[-1]
+        kind = side.schema[key_of[on[last]]].dataType.simpleString()
+        if not given:
+            df = add_salt(df, counts, spread_by, None if dict(df.dtypes)[last] == kind else kind)
+        side = replicate(side, counts, {c: key_of[on[c]] for c in counts.columns}, "_d_salted")
+        same[last] = F.col(counts.salt) == F.col("_d_salted")
+        keys = [*keys, "_d_salted"]
+    joined = df.join(side, all_of(list(same.values())), "left")
     taken = {name: F.col(f"_t_{name}") for name in take}
-    spent = [*keys, *[f"_t_{name}" for name in take]]
-    if hot_side is not None:
-        renamed = hot_side.withColumnsRenamed({c: f"_h{c}" for c in hot_side.columns})
-        conditions = [F.col(left) == F.col(f"_h{key_of[right]}") for left, right in on.items()]
-        joined = joined.join(F.broadcast(renamed), all_of(conditions), "left")
-        is_hot = F.coalesce(hot.test(), F.lit(False))
-        found = found | (is_hot & F.col(f"_h{keys[0]}").isNotNull())
-        taken = {
-            name: F.when(is_hot, F.col(f"_h_t_{name}")).otherwise(value)
-            for name, value in taken.items()
-        }
-        spent += [f"_h{c}" for c in spent]
     if hit:
-        taken[hit] = found
-    if hot is not None and not given:
-        spent.append(hot.cold)
-    return joined.withColumns(taken).drop(*spent)
+        taken[hit] = F.col(keys[0]).isNotNull()
+    spent = [*keys, *[f"_t_{name}" for name in take]]
+    return joined.withColumns(taken).drop(*spent, *([] if given else [counts.salt]))

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 
 from ..functions.text import as_col, fixed
 from ..sentinels import BLANK, NOT_QUALIFIED
-from .lookup import HotKeys, lookup
+from .lookup import lookup
+from .salted import KeyCounts
+from .skew import HOT_ROWS
 
 LEVELS = ("l4_name", "l3_name", "l2_name", "l1_name")
 
@@ -45,7 +47,7 @@ def add_product(
     levels: Sequence[str] = LEVELS,
     unique: bool = True,
     spread_by: Sequence[str] = (),
-    hot: HotKeys | None = None,
+    counts: KeyCounts | None = None,
 ) -> DataFrame:
     """Taxonomy by offer, "NQ" where unknown; ``products`` is keyed by ``rkey``."""
     found = lookup(
@@ -55,7 +57,7 @@ def add_product(
         {c: c for c in levels},
         unique=unique,
         spread_by=spread_by,
-        hot=hot,
+        counts=counts,
     )
     return found.fillna(NOT_QUALIFIED, list(levels))
 
@@ -95,16 +97,16 @@ def classify_product_by_service(
     levels: Sequence[str] = LEVELS,
     unique: bool = True,
     spread_by: Sequence[str] = (),
-    hot: Mapping[str, HotKeys] | None = None,
+    probe: DataFrame | None = None,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Taxonomy of a usage record by its service group.
 
     Groups 2 and 3 try the called party, the offer and the service filter in
     turn; group 1 the offer; group 5 the VAS code; others stay "NQ". One pass:
     each try is a lookup on (group, key), which is null for groups that do not
-    make it. A level still "NQ" after one try takes the next. With ``spread_by``
-    the records without a key are spread, and those with a key that ``hot``
-    lists for its record column.
+    make it. A level still "NQ" after one try takes the next. Keys are counted
+    in ``probe``, a frame with the same columns, or in ``df``.
     """
     group = service_group(service_filter)
     cascade = F.col("_svc").isin("s2", "s3")
@@ -115,11 +117,10 @@ def classify_product_by_service(
         "_key2": F.when(cascade, F.col(offer)),
         "_key3": F.when(cascade, F.col(service_filter)),
     }
-    sources = {"_key1": (b_party, offer, vas_code), "_key2": (offer,), "_key3": (service_filter,)}
     keyed = products_by_service(products, levels)
     out = df.withColumn("_svc", group).withColumns(dict(tries))
+    rows = (df if probe is None else probe).withColumn("_svc", group)
     for key in tries:
-        values = {v for c in sources[key] if hot and c in hot for v in hot[c].values}
         out = lookup(
             out,
             keyed,
@@ -128,7 +129,7 @@ def classify_product_by_service(
             hit=f"{key}_hit",
             unique=unique,
             spread_by=spread_by,
-            hot=HotKeys(key, tuple(sorted(values))) if spread_by else None,
+            counts=KeyCounts(rows, {"_svc": F.col("_svc"), key: tries[key]}, hot_rows),
         )
     filled = {}
     for c in levels:
@@ -179,20 +180,22 @@ def add_bonus_line(
     out: str = "productline_bonus_l4",
     unique: bool = True,
     spread_by: Sequence[str] = (),
-    hot: HotKeys | None = None,
+    probe: DataFrame | None = None,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Bonus product line: characters 3-10 of the offer against 4-11 of the
     line's fourth level."""
     keyed = lines.select(fixed(F.trim("l4"), 4, 8).alias("_bonus"), F.col("l4").alias("_l4"))
+    key = fixed(F.trim(F.col(offer)), 3, 8)
     found = lookup(
-        df.withColumn("_offer8", fixed(F.trim(F.col(offer)), 3, 8)),
+        df.withColumn("_offer8", key),
         keyed,
         {"_offer8": "_bonus"},
         {out: "_l4"},
         hit="_hit",
         unique=unique,
         spread_by=spread_by,
-        hot=HotKeys("_offer8", tuple({v.strip(" ")[2:10] for v in hot.values})) if hot else None,
+        counts=KeyCounts(df if probe is None else probe, {"_offer8": key}, hot_rows),
     )
     return found.withColumn(
         out, F.when(F.col("_hit"), F.col(out)).otherwise(F.lit(BLANK))
@@ -240,16 +243,27 @@ def prepaid_lines(lines: DataFrame, source: str = "PAYD") -> DataFrame:
     ).withColumn("trim_note", F.trim("note"))
 
 
-def add_line_by_note(df: DataFrame, lines: DataFrame, *, offer: str = "offer_id", unique: bool = True) -> DataFrame:
+def add_line_by_note(
+    df: DataFrame,
+    lines: DataFrame,
+    *,
+    offer: str = "offer_id",
+    unique: bool = True,
+    spread_by: Sequence[str] = (),
+    hot_rows: int | None = HOT_ROWS,
+) -> DataFrame:
     """Product-line levels by characters 3-7 of the offer, "Others" if unknown."""
     names = ("l1", "l2", "l3", "l4")
+    key = fixed(offer, 3, 5)
     found = lookup(
-        df.withColumn("_note", fixed(offer, 3, 5)),
+        df.withColumn("_note", key),
         lines,
         {"_note": "trim_note"},
         {c: c for c in names},
         hit="_hit",
         unique=unique,
+        spread_by=spread_by,
+        counts=KeyCounts(df, {"_note": key}, hot_rows),
     )
     return found.withColumns(
         {c: F.when(F.col("_hit"), F.col(c)).otherwise(F.lit("Others")) for c in names}

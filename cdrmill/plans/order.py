@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import fixed
-from ..operators.lookup import find_hot_keys, lookup, set_aside
+from ..operators.lookup import lookup
 from ..operators.product import resolve_offer
 from ..operators.quality import GOOD, REJECT, good_if_all_present, split_by
+from ..operators.salted import KeyCounts, add_salt, is_small
 from ..operators.skew import HOT_ROWS
 from ..quirks import INTENDED, Quirks
 from ..schemas import ORDER_OUT
@@ -47,8 +48,9 @@ def order_records(
         }
     )
     # Both lookups are by offer: one shuffle serves them.
-    hot = find_hot_keys(orders, "offer_id", hot_rows)
-    orders = set_aside(orders, hot, ("order_id", "msisdn", "timestamp_r"))
+    counts = KeyCounts(orders, ["offer_id"], hot_rows)
+    if not (is_small(accounting) and is_small(lines)):
+        orders = add_salt(orders, counts, ("order_id", "msisdn", "timestamp_r"))
     for dim, levels in ((accounting, ACCOUNTING), (lines, LINE)):
         orders = lookup(
             orders,
@@ -56,9 +58,9 @@ def order_records(
             {"offer_id": "rkey"},
             {c: c for c in levels},
             unique=not quirks.dimension_fan_out,
-            hot=hot,
+            counts=counts,
         )
-    return good_if_all_present(orders.drop(hot.cold), [*ACCOUNTING, *LINE])
+    return good_if_all_present(orders.drop(counts.salt), [*ACCOUNTING, *LINE])
 
 
 def order_routes(records: DataFrame) -> dict[str, DataFrame]:

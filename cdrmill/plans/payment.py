@@ -9,9 +9,9 @@ from ..functions.amounts import price_or_zero
 from ..functions.text import fixed
 from ..operators.enrich import enrich_subscriber, fill_location_from_history
 from ..operators.locate import closing_flag, location_index, lookup_location, payment_cell
-from ..operators.lookup import find_hot_keys, set_aside
 from ..operators.product import LEVELS, add_product, normalise_product_key, resolve_offer
 from ..operators.quality import reject_if_first_missing
+from ..operators.salted import KeyCounts
 from ..operators.skew import HOT_ROWS
 from ..quirks import INTENDED, Quirks
 from ..schemas import ACTIVATION_STAGED, PAYMENT_GOOD, PAYMENT_STAGED
@@ -83,14 +83,14 @@ def payment_stage1(
             "retry_count": F.lit(0),
         }
     )
-    hot = find_hot_keys(feed, "msisdn", hot_rows)
     enriched = enrich_subscriber(
-        set_aside(payment_cell(derived), hot, IDENTITY),
+        payment_cell(derived),
         subscribers,
         SUBSCRIBER_DEFAULTS,
         null_attributes_too=True,
         unique=not quirks.dimension_fan_out,
-        hot=hot,
+        spread_by=IDENTITY,
+        counts=KeyCounts(feed, ["msisdn"], hot_rows),
     )
     return enriched.select(*(ACTIVATION_STAGED if activation else PAYMENT_STAGED))
 
@@ -118,7 +118,7 @@ def payment_stage2(
         blank_blocks=quirks.blank_location_blocks_history,
         flag_on_equal_id=quirks.history_flag_on_equal_id,
         spread_by=IDENTITY,
-        hot=find_hot_keys(staged, "subs_id", hot_rows),
+        counts=KeyCounts(staged, ["subs_id"], hot_rows),
     )
     unique = LOCATION_KEYS
     if quirks.dimension_fan_out:
@@ -133,7 +133,7 @@ def payment_stage2(
         index,
         "_search",
         spread_by=IDENTITY,
-        hot=find_hot_keys(staged, "trx_lacci", hot_rows),
+        counts=KeyCounts(searched, ["_search"], hot_rows),
     ).drop("_search")
     flagged = closing_flag(matched, padded_unresolved_id=quirks.padded_unresolved_id)
     named = add_product(
@@ -141,7 +141,7 @@ def payment_stage2(
         normalise_product_key(products),
         unique=not quirks.dimension_fan_out,
         spread_by=IDENTITY,
-        hot=find_hot_keys(staged, "offer_id", hot_rows),
+        counts=KeyCounts(staged, ["offer_id"], hot_rows),
     )
     audited = named.withColumns(
         {

@@ -16,10 +16,10 @@ from ..operators.locate import (
     route_by_network,
     usage_cell_key,
 )
-from ..operators.lookup import find_hot_keys
 from ..operators.marts import recharge_revenue, recharge_to_revenue
 from ..operators.product import add_line_by_note, prepaid_lines
 from ..operators.quality import GOOD, REJECT, control_totals, quarantine_bad, reject_if_any_missing
+from ..operators.salted import KeyCounts
 from ..operators.skew import HOT_ROWS, number_arrivals
 from ..operators.wide import pack_columns, unpack_columns
 from ..quirks import INTENDED, Quirks
@@ -115,7 +115,7 @@ def recharge_records(
         SUBSCRIBER_DEFAULTS,
         quirks,
         spread_by=IDENTITY,
-        hot=find_hot_keys(clean, "msisdn", hot_rows),
+        counts=KeyCounts(clean, ["msisdn"], hot_rows),
     )
     matched = match_location(
         enriched.withColumn("_kind_of_key", route_by_network("indicator_4g", cgi=True)),
@@ -124,7 +124,7 @@ def recharge_records(
         take_also=["file_id"] if quirks.file_id_from_master else [],
         unique=not quirks.dimension_fan_out,
         spread_by=IDENTITY,
-        hot=find_hot_keys(clean, "trx_lacci", hot_rows),
+        counts=KeyCounts(clean, ["trx_lacci"], hot_rows),
     )
     if quirks.cascade_tests_overwritten_key:
         located = resolve_location_overwriting(matched, "_kind_of_key")

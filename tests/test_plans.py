@@ -28,7 +28,7 @@ def test_three_subscriber_lookups_shuffle_the_records_once(tables, no_broadcast)
     names = ("usage_feed", "subscribers", "history_mtd", "history_mm", "locations")
     feeds = [stage(tables.feed(n), n) for n in names]
     plan = physical(usage.usage_stage1(*feeds, RUN, hot_rows=None)["STAGED"])
-    assert len(re.findall(r"Exchange hashpartitioning\(_cold_msisdn", plan)) == 1
+    assert len(re.findall(r"Exchange hashpartitioning\(_salted_msisdn", plan)) == 1
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan and "SinglePartition" not in plan
 
 

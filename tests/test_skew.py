@@ -5,7 +5,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from cdrmill.operators import skew
-from cdrmill.operators.lookup import HotKeys, find_hot_keys, is_spread, lookup, spread_key
+from cdrmill.operators.lookup import is_spread, lookup, spread_key
+from cdrmill.operators.salted import KeyCounts, add_salt, is_small, replicate
 
 
 @pytest.fixture(scope="module")
@@ -72,42 +73,95 @@ def dimension(spark):
     return spark.createDataFrame(data, "dk string, name string")
 
 
+@pytest.fixture
+def no_broadcast(spark):
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
 @pytest.mark.parametrize("unique", [True, False])
-@pytest.mark.parametrize("values", [(), ("hot",), ("hot", "k1", "k2", "absent")])
-def test_hot_lookup_equals_plain_lookup(skewed, dimension, rows, unique, values):
+@pytest.mark.parametrize("hot_rows", [None, 3, 20, 500, 10_000])
+def test_salted_lookup_equals_plain_lookup(skewed, dimension, rows, no_broadcast, unique, hot_rows):
     plain = skewed.join(
         (skew.keep_one(dimension, ["dk"]) if unique else dimension), F.col("k") == F.col("dk"), "left"
     ).select("id", "name", F.col("dk").isNotNull().alias("found"))
-    found = lookup(
-        skewed,
-        dimension,
-        {"k": "dk"},
-        {"name": "name"},
-        hit="found",
-        unique=unique,
-        spread_by=["id"],
-        hot=HotKeys("k", values),
-    )
+    counts = KeyCounts(skewed, ["k"], hot_rows)
+    options = dict(hit="found", unique=unique, spread_by=["id"], counts=counts)
+    found = lookup(skewed, dimension, {"k": "dk"}, {"name": "name"}, **options)
     assert found.columns == [*skewed.columns, "name", "found"]
     assert rows(found, "id", "name", "found") == rows(plain)
 
 
-def test_too_many_hot_dimension_rows_are_not_broadcast(skewed, dimension, rows, monkeypatch):
-    from cdrmill.operators import lookup as module
-
-    monkeypatch.setattr(module, "MOST_HOT_DIM_ROWS", 1)
-    options = dict(unique=False, spread_by=["id"])
-    hot = lookup(skewed, dimension, {"k": "dk"}, {"name": "name"}, hot=HotKeys("k", ("hot",)), **options)
-    plain = lookup(skewed, dimension, {"k": "dk"}, {"name": "name"}, **options)
-    assert rows(hot, "id", "name") == rows(plain, "id", "name")
-
-
-def test_found_hot_keys(skewed):
-    assert find_hot_keys(skewed, "k", 500).values == ("hot",)
-    assert find_hot_keys(skewed, "k", None).values == ()
+def test_salts_follow_the_counts(skewed):
+    salts = {r.k: r._salts for r in KeyCounts(skewed, ["k"], 20).salts.collect()}
+    counts = {r.k: r["count"] for r in skewed.groupBy("k").count().collect()}
+    assert salts == {k: -(-n // 20) for k, n in counts.items() if k is not None and n > 20}
+    assert salts["hot"] == 50 and KeyCounts(skewed, ["k"], 2_000).salts is None
+    assert KeyCounts(skewed, ["k"], None).salts is None
+    salted = add_salt(skewed, KeyCounts(skewed, ["k"], 20), ["id"])
+    per_salt = salted.filter("k is not null").groupBy("k", "_salted_k").count().agg(F.max("count")).first()[0]
+    assert per_salt < 3 * 20
+    hot = salted.filter("k = 'hot'").select("_salted_k").distinct()
+    assert sorted(r[0] for r in hot.collect()) == sorted(f"\u0001{i}\u0001hot" for i in range(50))
+
+
+def test_more_groups_than_any_constant(spark, rows, no_broadcast):
+    """4,000 records without a key and 4,000 of one key: 2,000 salts of the
+    key, whose 20 dimension rows become 40,000; each keyless record is alone."""
+    facts = spark.range(8_000).selectExpr("id", "CASE WHEN id % 2 = 0 THEN 'hot' END AS k")
+    dim = spark.range(20).selectExpr("'hot' AS dk", "cast(id AS string) AS name")
+    counts = KeyCounts(facts, ["k"], 2)
+    salted = add_salt(facts, counts, ["id"])
+    groups = salted.groupBy(F.col("k").isNull()).agg(F.countDistinct("_salted_k").alias("n")).collect()
+    assert {r[0]: r.n for r in groups}[True] == 4_000 and {r[0]: r.n for r in groups}[False] > 1_500
+    assert replicate(dim, counts, {"k": "dk"}, "salt").count() == 20 * 2_000
+    found = lookup(facts, dim, {"k": "dk"}, {"name": "name"}, unique=False, spread_by=["id"], counts=counts)
+    assert found.count() == 4_000 + 4_000 * 20
+    assert found.filter("k is not null").groupBy("id").agg(F.countDistinct("name").alias("n")).filter("n <> 20").count() == 0
+
+
+def test_composite_keys_are_counted_together(spark, rows, no_broadcast):
+    facts = spark.range(600).selectExpr("id", "cast(id % 2 AS string) AS a", "if(id % 3 = 0, 'x', cast(id AS string)) AS b")
+    dim = spark.createDataFrame([("0", "x", "0x"), ("1", "x", "1x"), ("1", "5", "15")], "da string, db string, name string")
+    counts = KeyCounts(facts, ["a", "b"], 10)
+    assert {(r.a, r.b): r._salts for r in counts.salts.collect()} == {("0", "x"): 10, ("1", "x"): 10}
+    plain = facts.join(dim, (F.col("a") == F.col("da")) & (F.col("b") == F.col("db")), "left").select("id", "name")
+    for given in (counts, KeyCounts(facts, ["b"], 10), None):
+        found = lookup(facts, dim, {"a": "da", "b": "db"}, {"name": "name"}, counts=given)
+        assert rows(found, "id", "name") == rows(plain)
+
+
+def test_keys_of_two_types(spark, rows, no_broadcast):
+    facts = spark.range(300).selectExpr("id", "cast(id % 3 AS string) AS k")
+    dim = spark.createDataFrame([(0, "zero"), (1, "one")], "n long, name string")
+    found = lookup(facts, dim, {"k": "n"}, {"name": "name"}, counts=KeyCounts(facts, ["k"], 10))
+    assert rows(found.groupBy("k", "name").count()) == [("0", "zero", 100), ("1", "one", 100), ("2", None, 100)]
+
+
+def test_salts_reach_the_shuffle(spark, skewed, dimension, no_broadcast):
+    """Not the partitioning that the aggregate of the dimension left behind."""
+    plan = lookup(skewed, dimension, {"k": "dk"}, {"name": "name"}, counts=KeyCounts(skewed, ["k"], 20))
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning(_salted_k" in text and "hashpartitioning(_d_salted" in text
+    assert "hashpartitioning(k#" not in text
+
+
+def test_counts_only_where_the_dimension_is_large(spark, skewed, dimension):
+    counts = KeyCounts(skewed, ["k"], 20)
+    plan = lookup(skewed, dimension.limit(3), {"k": "dk"}, {"name": "name"}, counts=counts)
+    assert "salts" not in counts.__dict__ and "_salted" not in plan._jdf.queryExecution().toString()
+    assert is_small(dimension.limit(3)) and not is_small(spark.range(10**9))
+
+
+def test_salts_are_counted_in_a_share_of_the_rows(spark):
+    df = spark.range(60_000).selectExpr("CASE WHEN id % 3 = 0 THEN 'hot' ELSE cast(id AS string) END AS k")
+    (found,) = KeyCounts(df, ["k"], 10_000).salts.collect()
+    assert found.k == "hot" and 2 <= found._salts <= 3
 
 
 def test_spread_keys_match_nothing_and_differ(skewed):
     spread = skewed.filter(F.col("k").isNull()).select(spread_key("k", ["id"]).alias("s"))
     assert spread.filter(~is_spread("s")).count() == 0
-    assert spread.distinct().count() > 50
+    assert spread.distinct().count() == spread.count()
