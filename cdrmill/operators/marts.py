@@ -10,8 +10,12 @@ from pyspark.sql import functions as F
 from ..functions.amounts import number, total
 from ..functions.text import as_col, fixed, null_to
 from ..sentinels import BLANK, NOT_QUALIFIED, UNKNOWN, ZERO
-from .enrich import join_phone_prefix
+from .early_sums import sum_through_lookup
 from .product import map_values
+from .skew import HOT_ROWS
+
+# Digits of a phone number that its prefix has.
+PREFIX_WIDTH = 8
 
 # Spellings of a region and its mart name.
 REGION_NAMES = {
@@ -56,30 +60,34 @@ def customer_type(subtype: Column | str) -> Column:
     return F.when(as_col(subtype) == UNKNOWN, F.lit("B2C")).otherwise(F.lit("B2B"))
 
 
-def revenue_facts(revenue: DataFrame, prefixes: DataFrame, *, unique: bool = True) -> DataFrame:
-    """Merged revenue with phone-prefix regions, ready for both marts."""
-    joined = join_phone_prefix(
-        revenue,
-        prefixes,
-        {"area": "area", "area_name": "area_name", "regional": "regional"},
-        unique=unique,
-    )
-    has_region = present("regional")
-    found = F.col("prefix_found")
-    return joined.select(
+# Mart keys that come out of the phone prefix, and what they are made of.
+PREFIX_COLUMNS = ("area", "area_name", "regional")
+
+
+def prefix_keys() -> dict[str, Column]:
+    """Area, and home area, region and city of a record looked up by prefix:
+    columns ``_p_<name>`` and ``_p_found``."""
+    area, regional, found = F.col("_p_area_name"), F.col("_p_regional"), F.col("_p_found")
+    return {
+        "area": F.col("_p_area"),
+        "area_hlr": gated(area, found & present(area)),
+        "region_hlr": gated(normalise_region(regional), found & present(regional)),
+        "city_hlr": gated(regional, present(regional)),
+    }
+
+
+def mart_records(revenue: DataFrame) -> DataFrame:
+    """Merged revenue in the marts' own columns, and ``_prefix`` to look up."""
+    return revenue.select(
         F.col("trx_date").alias("file_date"),
         fixed("trx_date", 1, 4).alias("trx_year"),
         fixed("trx_date", 5, 2).alias("trx_month"),
         "trx_date",
         "brand",
         F.lit(BLANK).alias("l3_cd"),
-        gated("area_name", found & present("area_name")).alias("area_hlr"),
-        gated(normalise_region("regional"), found & has_region).alias("region_hlr"),
-        gated("regional", has_region).alias("city_hlr"),
         "l1_name",
         "l2_name",
         "l3_name",
-        "area",
         F.col("region_sales").alias("region"),
         F.col("cluster_sales").alias("cluster"),
         "offer_name",
@@ -93,19 +101,42 @@ def revenue_facts(revenue: DataFrame, prefixes: DataFrame, *, unique: bool = Tru
         number("trx").alias("tot_trx"),
         F.col("trx_date").alias("event_date"),
         F.concat(F.lit("SA_"), F.col("source_name")).alias("source_name"),
+        fixed("msisdn", 1, PREFIX_WIDTH).alias("_prefix"),
     )
 
 
-def sum_by(df: DataFrame, keys: Sequence[str], sums: Sequence[str]) -> DataFrame:
-    return df.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in sums])
+def revenue_mart(
+    records: DataFrame,
+    prefixes: DataFrame,
+    keys: Sequence[str],
+    sums: Sequence[str],
+    *,
+    unique: bool = True,
+    hot_rows: int | None = HOT_ROWS,
+) -> DataFrame:
+    """One mart of ``mart_records``; without ``unique`` each row of a prefix
+    multiplies its records."""
+    derived = {name: value for name, value in prefix_keys().items() if name in keys}
+    return sum_through_lookup(
+        records,
+        prefixes,
+        {"_prefix": "enriched_prefix"},
+        {f"_p_{c}": c for c in PREFIX_COLUMNS},
+        derived,
+        keys,
+        sums,
+        hit="_p_found",
+        unique=unique,
+        hot_rows=hot_rows,
+    )
 
 
-def hlr_mart(facts: DataFrame) -> DataFrame:
-    return sum_by(facts, HLR_KEYS, HLR_SUMS)
+def hlr_mart(records: DataFrame, prefixes: DataFrame, **options) -> DataFrame:
+    return revenue_mart(records, prefixes, HLR_KEYS, HLR_SUMS, **options)
 
 
-def vlr_mart(facts: DataFrame) -> DataFrame:
-    return sum_by(facts, VLR_KEYS, VLR_SUMS)
+def vlr_mart(records: DataFrame, prefixes: DataFrame, **options) -> DataFrame:
+    return revenue_mart(records, prefixes, VLR_KEYS, VLR_SUMS, **options)
 
 
 # --- Recharge ---------------------------------------------------------------

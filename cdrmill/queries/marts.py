@@ -6,10 +6,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import marts, state
-from ..operators.enrich import enrich_subscriber
+from ..operators.early_sums import sum_through_lookup
 from ..plans.daily_state import daily_state_job
 from ..plans.revenue import revenue_job
 from ..plans.run import RunInfo
+from ..sentinels import UNKNOWN
 from .base import Registry, Tables, with_feeds
 from .lookups import ONE_PREFIX, REGION_CASE
 
@@ -37,16 +38,19 @@ def region_revenue(t: Tables) -> DataFrame:
         .join(t.region, F.col("r_regionkey") == F.col("n_regionkey"))
         .select("c_custkey", F.col("r_name").alias("region_sales"), F.col("n_name").alias("branch"))
     )
-    enriched = enrich_subscriber(
-        t.orders.select("o_custkey", "o_totalprice"),
+    orders = t.orders.select("o_custkey", F.lit(1).alias("trx"), F.col("o_totalprice").alias("rev"))
+    names = ("region_sales", "branch")
+    summed = sum_through_lookup(
+        orders,
         subscribers,
-        {"region_sales": "UNKNOWN", "branch": "UNKNOWN"},
-        key="o_custkey",
-        dim_key="c_custkey",
-    )
-    return enriched.groupBy("region_sales", "branch").agg(
-        F.count(F.lit(1)).alias("trx"), F.round(F.sum("o_totalprice"), 2).alias("rev")
+        {"o_custkey": "c_custkey"},
+        {f"_{c}": c for c in names},
+        {c: F.when(F.col("_found"), F.col(f"_{c}")).otherwise(F.lit(UNKNOWN)) for c in names},
+        names,
+        ("trx", "rev"),
+        hit="_found",
     )
+    return summed.withColumn("rev", F.round("rev", 2))
 
 
 _FACTS = f"""{ONE_PREFIX}, facts AS (SELECT trx_date AS file_date, substr(trx_date, 1, 4) AS trx_year,

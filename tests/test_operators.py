@@ -208,3 +208,31 @@ def test_split_by_keeps_all_rows(frame):
     parts = split_by(df, "route", ("a", "b"), rest="rest")
     assert {k: v.count() for k, v in parts.items()} == {"a": 1, "b": 1, "rest": 2}
     assert split_by(df, "route", (), rest="rest")["rest"].count() == 4
+
+
+@pytest.mark.parametrize("small", [True, False])
+@pytest.mark.parametrize("unique", [True, False])
+@pytest.mark.parametrize("names", [("home", "kind"), ("kind",)])
+def test_sums_through_a_lookup(spark, rows, small, unique, names):
+    from cdrmill.operators.early_sums import sum_through_lookup
+    from cdrmill.operators.lookup import lookup
+
+    facts = spark.range(900).selectExpr(
+        "if(id % 3 = 0, 'hot', if(id % 7 = 0, null, cast(id % 40 AS string))) AS k", "cast(id % 2 AS string) AS kind",
+        "1 AS n", "if(id % 5 = 0, null, id) AS v",
+    )
+    dim = spark.createDataFrame([("hot", "H"), ("hot", "A"), ("1", "one"), ("5", None), (None, "x")], "dk string, name string")
+    derived = {"home": F.when(F.col("_hit"), F.coalesce("_name", F.lit("-"))).otherwise(F.lit("none"))}
+    derived = {k: v for k, v in derived.items() if k in names}
+    found = lookup(facts, dim, {"k": "dk"}, {"_name": "name"}, hit="_hit", unique=unique)
+    plain = found.withColumns(derived).groupBy(*names).agg(F.sum("n").alias("n"), F.sum("v").alias("v"))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    if not small:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        summed = sum_through_lookup(
+            facts, dim, {"k": "dk"}, {"_name": "name"}, derived, names, ("n", "v"), hit="_hit", unique=unique, hot_rows=2
+        )
+        assert summed.columns == plain.columns and rows(summed) == rows(plain)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)

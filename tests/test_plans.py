@@ -44,3 +44,24 @@ def test_scans_read_only_what_they_need(tables):
     scans = re.findall(r"ReadSchema: (\S+)", physical(marts.region_revenue(tables)))
     orders = next(s for s in scans if "o_totalprice" in s)
     assert orders == "struct<o_custkey:bigint,o_totalprice:double>"
+
+
+@pytest.mark.parametrize("unique", [True, False])
+def test_sums_go_below_the_lookup(tables, no_broadcast, unique):
+    """An aggregate under the prefix join of both marts."""
+    from cdrmill.plans.revenue import revenue_job
+    from cdrmill.quirks import Quirks
+
+    feeds = [stage(tables.feed(n), n) for n in ("revenue", "prefixes")]
+    for mart in revenue_job(*feeds, quirks=Quirks(dimension_fan_out=not unique), hot_rows=None).values():
+        above, below = physical(mart).split("Join ")
+        assert "sum(tot_rev" in above
+        assert re.search(r"HashAggregate\(keys=\[_prefix#\d+.*sum\(tot_rev", below)
+
+
+def test_small_prefixes_take_one_round_of_sums(tables):
+    from cdrmill.plans.revenue import revenue_job
+
+    feeds = [stage(tables.feed(n), n) for n in ("revenue", "prefixes")]
+    plan = physical(revenue_job(*feeds)["HLR"])
+    assert "BroadcastHashJoin" in plan and len(re.findall(r"functions=\[sum\(", plan)) == 1
