@@ -20,13 +20,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import stage
-from .skew import HOT_ROWS, SIGHTINGS
-
-# Keys that are split at most, as their salts are broadcast; with more hot ones
-# the share that makes a key hot rises, so any other has under 1/SPLIT_KEYS of
-# the rows, far less than a task's share of a shuffle with that many keys.
-SPLIT_KEYS = 100_000
+from .skew import HOT_ROWS, key_shares, row_code
 
 
 class KeyCounts:
@@ -35,7 +29,7 @@ class KeyCounts:
 
     ``columns`` are record columns or, where ``rows`` is a frame the records are
     derived from, a mapping of record columns to expressions over ``rows``.
-    About SIGHTINGS in ``hot_rows`` rows are counted; None counts nothing.
+    None for ``hot_rows`` counts nothing.
     """
 
     def __init__(
@@ -56,27 +50,12 @@ class KeyCounts:
     @cached_property
     def salts(self) -> DataFrame | None:
         """The hot keys and ``_salts`` for each, a local frame of at most
-        SPLIT_KEYS rows; None where there are none."""
+        skew.SPLIT_KEYS rows; None where there are none."""
         if self.hot_rows is None:
             return None
-        share = min(1.0, SIGHTINGS / self.hot_rows)
-        seen = self.rows.select(*[e.alias(c) for c, e in self.columns.items()]).na.drop()
-        seen = seen if share == 1.0 else seen.sample(share, seed=17)
-        counts = stage(seen.groupBy(*self.columns).agg(F.count(F.lit(1)).alias("_rows")), "key_counts")
-        total = counts.agg(F.sum("_rows")).first()[0] or 0
-        # Rows of a salt: at least total / SPLIT_KEYS, so at most SPLIT_KEYS keys have more.
-        enough = max(self.hot_rows * share, total / SPLIT_KEYS, 1.0)
-        salts = F.ceil(F.col("_rows") / F.lit(enough)).cast("long").alias("_salts")
-        rows = counts.filter(F.col("_rows") > enough).select(*self.columns, salts).collect()
-        if not rows:
-            return None
-        schema = counts.select(*self.columns, salts).schema
-        return counts.sparkSession.createDataFrame(rows, schema)
-
-
-def unsalted(df: DataFrame, columns: Sequence[str]) -> KeyCounts:
-    """Counts of nothing: no key is split."""
-    return KeyCounts(df, columns, None)
+        known = self.rows.select(*[e.alias(c) for c, e in self.columns.items()]).na.drop()
+        shares = key_shares(known, list(self.columns), self.hot_rows)
+        return None if shares is None else shares.withColumnRenamed("_shares", "_salts")
 
 
 def is_small(side: DataFrame) -> bool:
@@ -86,12 +65,6 @@ def is_small(side: DataFrame) -> bool:
     return int(str(size)) <= most
 
 
-def row_code(df: DataFrame, by: Sequence[str] = ()) -> Column:
-    """A hash of the row (``by``: of the columns that tell rows apart), so a
-    retried task deals its rows the same way."""
-    return F.xxhash64(*(by or [c for c, kind in df.dtypes if "map<" not in kind]))
-
-
 def _join_salts(df: DataFrame, salts: DataFrame, keys: Mapping[str, str]) -> DataFrame:
     """``_salts`` of each row's key (record columns -> columns of ``df``); null
     for keys that are not hot."""

@@ -1,50 +1,68 @@
 """Ranking, first-of-group and numbering that stay parallel on hot keys.
 
 A plain window puts each key into one task, so a key holding a third of the
-rows would run in one task too. The operators here look for such keys first (a
-count over a share of the rows, top 1,000 at most) and cut only those into pieces by
-order value. The cut points are a hash sample of the key's own order values,
-hence repeatable, and every result is exact whatever the sample was.
-
-Rows that agree in all ordering columns of one key share a rank and are kept
-in one piece.
+rows would run in one task too. The operators here count keys over a share of
+the rows and cut those with more than a piece's rows by order value. The cut
+points are quantiles of a sample of the key's own order values, as many as its
+rows ask for; every result is exact whatever the sample was.
+
+A row that agrees with a cut point in all ordering columns has a piece of that
+value alone, whose rank needs no order: such a piece is split further, so a
+record that repeats without end is many tasks as well.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..session import stage
 
-# A key is hot from this many rows on; at most MOST_HOT keys are treated as
-# such, so any key left out holds under 1/MOST_HOT of the rows.
+# A key is hot from this many rows on; so many make up a piece of it.
 HOT_ROWS = 1_000_000
-MOST_HOT = 1_000
-# Rows of a hot key that looking for it needs to see.
+# Rows of a piece that counting keys needs to see, and of a cut point.
 SIGHTINGS = 1_000
-PIECES = 64
-
-
-def hot_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame | None:
-    """The hot keys of ``df`` as a small local DataFrame, or None.
-
-    Counts the keys of about SIGHTINGS in ``hot_rows`` rows, so mostly unique
-    keys are not all shuffled for it. This only chooses which keys are split;
-    every row is ranked or joined either way. At most MOST_HOT rows reach the
-    driver.
+PER_CUT = 100
+# Keys that are split at most, as they are broadcast; with more hot ones the
+# share that makes a key hot rises, so any other has under 1/SPLIT_KEYS of the
+# rows, far less than a task's share of a shuffle with that many keys.
+SPLIT_KEYS = 100_000
+# Bytes of cut points that are broadcast; pieces are made larger to fit.
+CUT_BYTES = 64 << 20
+
+
+def key_shares(
+    rows: DataFrame, columns: Mapping[str, Column] | Sequence[str], hot_rows: int = HOT_ROWS
+) -> DataFrame | None:
+    """Hot keys as a small local frame with ``_shares``: how many pieces of
+    ``hot_rows`` rows each makes. None where no key has more than one.
+
+    Keys of about SIGHTINGS in ``hot_rows`` rows are counted, so mostly unique
+    keys are not all shuffled for it. This only chooses how rows are dealt to
+    tasks; every row is ranked or joined either way.
     """
+    if not isinstance(columns, Mapping):
+        columns = {c: F.col(c) for c in columns}
     share = min(1.0, SIGHTINGS / hot_rows)
-    seen = df.select(*keys)
-    enough = hot_rows
-    if share < 1.0:
-        seen, enough = seen.sample(share, seed=17), SIGHTINGS // 2
-    counts = seen.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    top = counts.filter(F.col("_rows") >= enough).orderBy(F.desc("_rows")).limit(MOST_HOT)
-    rows = [tuple(r[k] for k in keys) for r in top.collect()]
-    return df.sparkSession.createDataFrame(rows, df.select(*keys).schema) if rows else None
+    seen = rows.select(*[e.alias(c) for c, e in columns.items()])
+    seen = seen if share == 1.0 else seen.sample(share, seed=17)
+    counts = stage(seen.groupBy(*columns).agg(F.count(F.lit(1)).alias("_rows")), "key_counts")
+    total = counts.agg(F.sum("_rows")).first()[0] or 0
+    # At least total / SPLIT_KEYS rows, so at most SPLIT_KEYS keys have more.
+    enough = max(hot_rows * share, total / SPLIT_KEYS, 1.0)
+    shares = F.ceil(F.col("_rows") / F.lit(enough)).cast("long").alias("_shares")
+    hot = counts.filter(F.col("_rows") > enough).select(*columns, shares)
+    found = hot.collect()
+    return rows.sparkSession.createDataFrame(found, hot.schema) if found else None
+
+
+def row_code(df: DataFrame, by: Sequence[str] = ()) -> Column:
+    """A hash of the row (``by``: of the columns that tell rows apart), so a
+    retried task deals its rows the same way."""
+    return F.xxhash64(*(by or [c for c, kind in df.dtypes if "map<" not in kind]))
 
 
 def _renamed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -59,25 +77,46 @@ def _same_keys(keys: Sequence[str], extra: Sequence[tuple[str, str]] = ()) -> Co
     return cond
 
 
-def _cut_points(hot_rows: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
-    """Up to PIECES sorted cut points per hot key: in each hash class of the
-    order values, the one with the smallest hash."""
-    value = F.struct(*order)
-    code = F.xxhash64(*order)
-    picks = hot_rows.groupBy(*keys, F.pmod(code, F.lit(PIECES)).alias("_class")).agg(
-        F.min_by(value, code).alias("_pick")
-    )
-    return picks.groupBy(*keys).agg(F.sort_array(F.collect_list("_pick")).alias("_cuts"))
-
+def cut_points(
+    hot_rows_of: DataFrame, keys: Sequence[str], order: Sequence[str], piece: int, cut_bytes: int = CUT_BYTES
+) -> tuple[DataFrame, int]:
+    """Per key the sorted ``_cuts``, order values about ``piece`` rows apart with
+    the number of pieces each value makes by itself, and the most cuts of a key.
 
-def _count_below(cuts: str, value: Column) -> Column:
-    """How many of the sorted ``cuts`` (at most PIECES) are below ``value``:
+    Quantiles of a sample of the rows, equal values counted: partial counts of
+    the sample are merged, whatever the number of rows.
+    """
+    rate = min(1.0, PER_CUT / piece)
+    seen = hot_rows_of if rate == 1.0 else hot_rows_of.sample(rate, seed=23)
+    values = seen.groupBy(*keys, F.struct(*order).alias("_value")).agg(F.count(F.lit(1)).alias("_n"))
+    values = stage(values, "order_values")
+    up_to = Window.partitionBy(*keys).orderBy("_value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    per = max(1.0, piece * rate)
+
+    def picked(per: float) -> DataFrame:
+        """Values at which the count goes on to the next multiple of ``per``."""
+        ahead = values.withColumn("_up_to", F.sum("_n").over(up_to))
+        steps = F.floor(F.col("_up_to") / per) > F.floor((F.col("_up_to") - F.col("_n")) / per)
+        own = F.greatest(F.lit(1), F.ceil(F.col("_n") / per)).cast("long")
+        return ahead.filter(steps).select(*keys, "_value", own.alias("_own"))
+
+    size = F.sum(F.length(F.to_json("_value")) + F.lit(16))
+    total = picked(per).agg(size).first()[0] or 0
+    if total > cut_bytes:
+        per *= total / cut_bytes
+    cuts = picked(per).groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("_value", "_own"))).alias("_cuts"))
+    cuts = stage(cuts, "cut_points")
+    return cuts, cuts.agg(F.max(F.size("_cuts"))).first()[0] or 0
+
+
+def _count_below(cuts: str, value: Column, most: int) -> Column:
+    """How many of the sorted ``cuts`` (at most ``most``) are below ``value``:
     a binary search, one comparison per halving."""
-    steps = [1 << i for i in range(PIECES.bit_length() - 1, -1, -1)]
+    steps = [1 << i for i in range(most.bit_length() - 1, -1, -1)] or [1]
 
     def step(below: Column, ahead: Column) -> Column:
         further = below + ahead
-        fits = (further <= F.size(cuts)) & (F.get(F.col(cuts), further - 1) < value)
+        fits = (further <= F.size(cuts)) & (F.get(F.col(cuts), further - 1)["_value"] < value)
         return F.when(fits, further).otherwise(below)
 
     return F.aggregate(F.array(*[F.lit(s) for s in steps]), F.lit(0), step)
@@ -90,6 +129,8 @@ def dense_rank_by(
     out: str,
     hot_rows: int | None = HOT_ROWS,
     probe: DataFrame | None = None,
+    cut_bytes: int = CUT_BYTES,
+    kind: str = "int",
 ) -> DataFrame:
     """``dense_rank`` over ``keys`` ordered by ``order``, hot keys in pieces.
 
@@ -98,25 +139,30 @@ def dense_rank_by(
     ``hot_rows`` no key is looked for.
     """
     keys, order = list(keys), list(order)
-    hot = None if hot_rows is None else hot_keys(df if probe is None else probe, keys, hot_rows)
+    hot = None if hot_rows is None else key_shares(df if probe is None else probe, keys, hot_rows)
     if hot is None:
-        return df.withColumn(out, F.dense_rank().over(Window.partitionBy(*keys).orderBy(*order)))
+        return df.withColumn(out, F.dense_rank().over(Window.partitionBy(*keys).orderBy(*order)).cast(kind))
 
     needed = list(dict.fromkeys(keys + order))
-    hot_side = F.broadcast(_renamed(hot, keys))
-    in_hot = df.select(*needed).join(hot_side, _same_keys(keys), "left_semi")
-    cuts = F.broadcast(_renamed(_cut_points(in_hot, keys, order), keys))
+    in_hot = df.select(*needed).join(F.broadcast(_renamed(hot, keys)), _same_keys(keys), "left_semi")
+    cuts, most = cut_points(in_hot, keys, order, hot_rows, cut_bytes)
+    known = F.broadcast(_renamed(cuts, keys))
 
     def into_pieces(rows: DataFrame) -> DataFrame:
-        below = _count_below("_cuts", F.struct(*order))
-        return (
-            rows.join(cuts, _same_keys(keys), "left")
-            .withColumn("_piece", F.when(F.col("_cuts").isNotNull(), below).otherwise(F.lit(0)))
-            .drop("_cuts", *[f"_k_{k}" for k in keys])
+        """Even pieces lie between cut points, odd ones hold one cut point's value."""
+        value = F.struct(*order)
+        found = rows.join(known, _same_keys(keys), "left").withColumn(
+            "_below", F.when(F.col("_cuts").isNotNull(), _count_below("_cuts", value, most)).otherwise(F.lit(0))
         )
+        at = F.get(F.col("_cuts"), F.col("_below"))
+        alone = F.coalesce(at["_value"].eqNullSafe(value) & at.isNotNull(), F.lit(False))
+        part = F.when(alone, F.pmod(row_code(rows), at["_own"])).otherwise(F.lit(0))
+        return found.withColumns(
+            {"_piece": F.col("_below") * 2 + alone.cast("int"), "_part": part.cast("long")}
+        ).drop("_cuts", "_below", *[f"_k_{k}" for k in keys])
 
     # Distinct order values per piece, summed up to an offset per piece: at
-    # most MOST_HOT * (PIECES + 1) rows.
+    # most two rows for each cut point.
     per_piece = (
         into_pieces(in_hot)
         .select(*keys, "_piece", F.struct(*order).alias("_value"))
@@ -131,13 +177,13 @@ def dense_rank_by(
         .withColumnRenamed("_piece", "_at"),
         keys,
     )
-    local = F.dense_rank().over(Window.partitionBy(*keys, "_piece").orderBy(*order))
+    local = F.dense_rank().over(Window.partitionBy(*keys, "_piece", "_part").orderBy(*order))
     return (
         into_pieces(df)
         .withColumn("_local", local)
         .join(F.broadcast(offsets), _same_keys(keys, [("_piece", "_at")]), "left")
-        .withColumn(out, (F.col("_local") + F.coalesce("_offset", F.lit(0))).cast("int"))
-        .drop("_local", "_piece", "_at", "_offset", *[f"_k_{k}" for k in keys])
+        .withColumn(out, (F.col("_local") + F.coalesce("_offset", F.lit(0))).cast(kind))
+        .drop("_local", "_piece", "_part", "_at", "_offset", *[f"_k_{k}" for k in keys])
     )
 
 
@@ -161,42 +207,77 @@ def keep_one(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> D
 
 
 _POSITION_BITS = 33
+_SPLIT = ("_partition", "_file", "_block")
+
 
+@dataclass
+class Arrivals:
+    """Numbered rows, and how many there are to be."""
 
-def _from_positions(placed: DataFrame, out: str, start: int) -> DataFrame:
-    """Turn (partition, position) codes into consecutive numbers.
+    rows: DataFrame
+    expected: int
+    observed: Observation
 
-    The offsets hold one row per partition; that is what is ordered in a single
-    window and broadcast.
+    def check(self) -> None:
+        """After ``rows`` have been written or counted: fails if some were missing."""
+        found = self.observed.get["rows"]
+        if found != self.expected:
+            raise RuntimeError(f"{found} rows were numbered, {self.expected} were counted")
+
+
+def arrivals(df: DataFrame, out: str = "rec_id", start: int = 1) -> Arrivals:
+    """Number rows 1, 2, ... by file, block and place in it.
+
+    A first pass only counts the rows of each input split; the numbers are
+    offsets of the splits plus positions in them, and nothing is written. ``df``
+    must be read the same way twice: files with filters and projections, no
+    shuffle. A row of a split that was not counted, or at a place behind its
+    last, fails the run; missing rows show in ``check``.
     """
-    partition = F.shiftright("_at", _POSITION_BITS)
-    position = F.col("_at").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
-    sizes = placed.groupBy(partition.alias("_partition")).agg((F.max(position) + 1).alias("_size"))
-    earlier = Window.orderBy("_partition").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        F.col("_partition"), F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_offset")
+    place = F.monotonically_increasing_id()
+    placed = df.withColumns(
+        {
+            "_partition": F.shiftright(place, _POSITION_BITS),
+            "_position": place.bitwiseAND(F.lit((1 << _POSITION_BITS) - 1)),
+            "_file": F.input_file_name(),
+            "_block": F.input_file_block_start(),
+        }
     )
-    return (
-        placed.withColumn("_partition", partition)
-        .join(F.broadcast(offsets), "_partition")
-        .withColumn(out, (F.col("_offset") + position + F.lit(start)).cast("long"))
-        .drop("_partition", "_offset", "_at")
+    sizes = placed.groupBy(*_SPLIT).agg(
+        F.count(F.lit(1)).alias("_rows"), F.min("_position").alias("_first"), F.max("_position").alias("_last")
+    )
+    splits = sizes.collect()  # a row for each input split, as in the listing of the files
+    offsets, ahead = [], start
+    for r in sorted(splits, key=lambda r: (r["_file"], r["_block"], r["_partition"])):
+        if r["_last"] - r["_first"] + 1 != r["_rows"]:
+            raise ValueError(f"the rows of a split of {r['_file']} do not follow one another")
+        offsets.append((*[r[c] for c in _SPLIT], r["_first"], r["_last"], ahead))
+        ahead += r["_rows"]
+    schema = "_s_partition long, _s_file string, _s_block long, _first long, _last long, _offset long"
+    known = df.sparkSession.createDataFrame(offsets, schema)
+    same = [F.col(c) == F.col(f"_s{c}") for c in _SPLIT]
+    joined = placed.join(F.broadcast(known), same[0] & same[1] & same[2], "left")
+    counted = F.col("_position").between(F.col("_first"), F.col("_last"))
+    number = F.when(counted, F.col("_offset") + F.col("_position") - F.col("_first")).otherwise(
+        F.raise_error(F.lit("the feed changed while it was being numbered")).cast("long")
     )
+    numbered = joined.withColumn("_number", number)
+    spent = [*_SPLIT, "_position", "_first", "_last", "_offset", *[f"_s{c}" for c in _SPLIT]]
+    numbered = numbered.drop(*spent, *([out] if out in df.columns else [])).withColumnRenamed("_number", out)
+    observed = Observation()
+    return Arrivals(numbered.observe(observed, F.count(F.lit(1)).alias("rows")), ahead - start, observed)
 
 
 def number_arrivals(df: DataFrame, out: str = "rec_id", start: int = 1) -> DataFrame:
-    """Number rows 1, 2, ... in the order Spark reads them.
-
-    The row positions are written out once, so a retried task cannot renumber.
-    """
-    return _from_positions(
-        stage(df.withColumn("_at", F.monotonically_increasing_id()), "arrivals"), out, start
-    )
+    return arrivals(df, out, start).rows
 
 
-def number_by(df: DataFrame, order: Sequence[str], out: str, start: int = 1) -> DataFrame:
-    """Number rows by a (unique) order: range partitioning, no single task."""
-    ordered = df.repartitionByRange(*order).sortWithinPartitions(*order)
-    return _from_positions(
-        stage(ordered.withColumn("_at", F.monotonically_increasing_id()), "ordered"), out, start
-    )
+def number_by(
+    df: DataFrame, order: Sequence[str], out: str, start: int = 1, hot_rows: int = HOT_ROWS
+) -> DataFrame:
+    """Number rows by a unique order: the rows are one key cut into pieces, so
+    nothing is written and no task sees them all. Rows that agree in ``order``
+    would share a number."""
+    ranked = dense_rank_by(df.withColumn("_all", F.lit(0)), ["_all"], order, "_number", hot_rows, kind="long")
+    numbered = ranked.withColumn("_number", (F.col("_number") + F.lit(start - 1)).cast("long"))
+    return numbered.drop("_all", *([out] if out in df.columns else [])).withColumnRenamed("_number", out)

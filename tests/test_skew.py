@@ -35,14 +35,48 @@ def test_hot_keys_are_cut_into_pieces(skewed):
     assert "_piece" not in skew.dense_rank_by(skewed, ["k"], ["v"], "r", None)._jdf.queryExecution().toString()
 
 
-def test_hot_keys_are_few(skewed):
-    assert [r[0] for r in skew.hot_keys(skewed, ["k"], 500).collect()] == ["hot"]
-    assert skew.hot_keys(skewed, ["k"], 5000) is None
-
-
-def test_hot_keys_are_seen_in_a_share_of_the_rows(spark):
-    df = spark.range(60_000).selectExpr("CASE WHEN id % 3 = 0 THEN 'hot' ELSE cast(id AS string) END AS k")
-    assert [r[0] for r in skew.hot_keys(df, ["k"], 10_000).collect()] == ["hot"]
+def test_shares_follow_the_counts(spark, skewed):
+    assert [tuple(r) for r in skew.key_shares(skewed, ["k"], 500).collect()] == [("hot", 2)]
+    assert skew.key_shares(skewed, ["k"], 5000) is None
+    shares = {r.k: r._shares for r in skew.key_shares(skewed, ["k"], 20).collect()}
+    assert None in shares and shares["hot"] == 50 and len(shares) > 30
+
+
+def test_shares_never_exceed_what_is_broadcast(skewed, monkeypatch):
+    monkeypatch.setattr(skew, "SPLIT_KEYS", 5)
+    found = skew.key_shares(skewed, ["k"], 2).collect()
+    assert 1 <= len(found) <= 5 and max(r._shares for r in found) == 2
+
+
+@pytest.mark.parametrize("order", [["v"], ["id"], ["v", "w", "id"]])
+def test_many_pieces(spark, rows, order):
+    """4,000 rows of one key in pieces of 20: far over 65 of them."""
+    df = spark.range(4000).selectExpr("id", "'hot' AS k", "int(id * 7919 % 4001) AS v", "string(id % 3) AS w")
+    cuts, most = skew.cut_points(df, ["k"], order, 20)
+    assert most > 150 and cuts.count() == 1
+    expected = df.withColumn("r", F.dense_rank().over(Window.partitionBy("k").orderBy(*order)))
+    assert rows(skew.dense_rank_by(df, ["k"], order, "r", 20), "id", "r") == rows(expected, "id", "r")
+
+
+def test_one_record_repeats_past_a_piece(spark, rows, monkeypatch):
+    """Three quarters of a key's rows agree in all ordering columns: their rank
+    is known without an order, so they are dealt to many tasks."""
+    df = spark.range(4000).selectExpr("id", "'hot' AS k", "if(id % 4 = 0, int(id), 1001) AS v", "if(id % 4 = 1, null, 'x') AS w")
+    (row,) = skew.cut_points(df, ["k"], ["v", "w"], 50)[0].collect()
+    own = {(c._value.v, c._value.w): c._own for c in row._cuts}
+    assert own[(1001, None)] >= 15 and own[(1001, "x")] >= 30
+    expected = df.withColumn("r", F.dense_rank().over(Window.partitionBy("k").orderBy("v", "w")))
+    assert rows(skew.dense_rank_by(df, ["k"], ["v", "w"], "r", 50), "id", "r") == rows(expected, "id", "r")
+
+
+def test_cut_points_are_bounded_in_bytes(spark, rows):
+    df = spark.range(3000).selectExpr("id", "'hot' AS k", "lpad(string(id), 200, 'x') AS wide")
+    assert skew.cut_points(df, ["k"], ["wide"], 20)[1] > 100
+    cuts, most = skew.cut_points(df, ["k"], ["wide"], 20, cut_bytes=5_000)
+    assert 5 < most < 30
+    expected = df.withColumn("r", F.dense_rank().over(Window.partitionBy("k").orderBy("wide")))
+    ranked = skew.dense_rank_by(df, ["k"], ["wide"], "r", 20, cut_bytes=5_000)
+    assert rows(ranked, "id", "r") == rows(expected, "id", "r")
 
 
 def test_keep_one_ignores_arrival(skewed, rows):
@@ -59,10 +93,53 @@ def test_keep_one_ignores_arrival(skewed, rows):
     )
 
 
-def test_numbers_are_consecutive(skewed):
-    numbered = skew.number_arrivals(skewed.repartition(7), "n").collect()
-    assert sorted(r.n for r in numbered) == list(range(1, 3001))
-    ordered = skew.number_by(skewed, ["v", "id"], "n", start=10).collect()
+@pytest.fixture
+def feed(spark, tmp_path):
+    """Rows in files of their own, in order of the files."""
+    spark.range(0, 5000, 1, 7).selectExpr("id", "id % 3 AS part").write.parquet(str(tmp_path / "feed"))
+    return str(tmp_path / "feed")
+
+
+def test_arrivals_are_numbered_by_file(spark, feed):
+    for name in ("1", "1k"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "128m" if name == "1" else "3k")
+        numbered = skew.arrivals(spark.read.parquet(feed).filter("part <> 1"), "n", 10)
+        found = sorted(tuple(r) for r in numbered.rows.select("n", "id").collect())
+        kept = [i for i in range(5000) if i % 3 != 1]
+        assert found == list(zip(range(10, 10 + len(kept)), kept))
+        numbered.check()
+    spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_numbering_writes_nothing(spark, feed, monkeypatch):
+    def refuse(*_):
+        raise AssertionError("staged")
+
+    monkeypatch.setattr(skew, "stage", refuse)
+    assert skew.number_arrivals(spark.read.parquet(feed), "n").agg(F.max("n")).first()[0] == 5000
+
+
+def test_changed_feeds_fail(spark, tmp_path):
+    """As many bytes as were listed, but more rows than were counted."""
+    (tmp_path / "a.csv").write_text("1234567\n" * 10)
+    numbered = skew.arrivals(spark.read.schema("v string").csv(str(tmp_path)), "n")
+    assert numbered.rows.agg(F.max("n")).first()[0] == 10
+    (tmp_path / "a.csv").write_text("1\n" * 40)
+    with pytest.raises(Exception, match="the feed changed while it was being numbered"):
+        numbered.rows.write.format("noop").mode("overwrite").save()
+
+
+def test_missing_rows_show_in_the_check(spark, feed):
+    numbered = skew.arrivals(spark.read.parquet(feed), "n")
+    numbered.expected += 1
+    numbered.rows.count()
+    with pytest.raises(RuntimeError, match="5000 rows were numbered, 5001"):
+        numbered.check()
+
+
+@pytest.mark.parametrize("hot_rows", [50, skew.HOT_ROWS])
+def test_numbers_by_order(skewed, hot_rows):
+    ordered = skew.number_by(skewed, ["v", "id"], "n", start=10, hot_rows=hot_rows).collect()
     by_order = sorted(ordered, key=lambda r: (r.v is not None, r.v or 0, r.id))
     assert [r.n for r in by_order] == list(range(10, 3010))
 
