@@ -137,6 +137,21 @@ def audit_counts(t: Tables) -> DataFrame:
     return run.record(t.spark).select(F.explode("counts").alias("label", "records"))
 
 
+@query(
+    """SELECT lpad(cast(o_custkey % 12 + 1 AS string), 2, '0') AS route, substr(cast(o_orderdate AS string), 1, 4) AS year,
+    count(*) AS records FROM orders GROUP BY 1, 2"""
+)
+def typed_partitions(t: Tables) -> DataFrame:
+    """Routes "01" to "12" and years stay text through folders by route and date."""
+    routed, dated = _folder(t, "routes"), _folder(t, "years")
+    route = F.lpad((F.col("o_custkey") % 12 + 1).cast("string"), 2, "0")
+    year = F.date_format("o_orderdate", "yyyy")
+    writers.write_routed(t.orders.select("o_orderkey", route.alias("route"), year.alias("year")), routed, "route")
+    writers.write_by_date(readers.read_partitioned(t.spark, routed), dated, "year")
+    back = readers.read_partitioned(t.spark, dated)
+    return back.groupBy("route", "year").agg(F.count(F.lit(1)).alias("records"))
+
+
 @query(
     """SELECT substr(cast(o_orderdate AS string), 1, 10) AS event_date, count(*) AS records
     FROM orders GROUP BY 1"""

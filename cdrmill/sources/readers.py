@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from ..schemas import text_schema
+from .writers import SCHEMA_PART
 
 
 def read_parquet(spark: SparkSession, path: str, names: Sequence[str] | None = None) -> DataFrame:
@@ -16,6 +19,14 @@ def read_parquet(spark: SparkSession, path: str, names: Sequence[str] | None = N
     return rename(df, names) if names else df
 
 
+def read_partitioned(spark: SparkSession, path: str) -> DataFrame:
+    """A folder of ``writers.write_routed`` or ``write_by_date`` with the columns
+    and types it was written with, partition values included."""
+    (line,) = spark.read.text(f"{path}/{SCHEMA_PART}/part-*").collect()
+    schema = StructType.fromJson(json.loads(line.value))
+    return spark.read.schema(schema).parquet(path).select(*schema.names)
+
+
 def read_feed(
     spark: SparkSession, path: str, names: Sequence[str], sep: str = "|", header: bool = False
 ) -> DataFrame:

@@ -26,16 +26,32 @@ def write_tables(routes: Mapping[str, DataFrame], prefix: str) -> None:
         write_table(df, f"{prefix}_{route.lower()}")
 
 
+# Part of a partitioned folder that holds its declared schema; readers of the
+# folder pass over names that start like this.
+SCHEMA_PART = "_schema"
+
+
+def _declare(df: DataFrame, path: str) -> None:
+    """Leave the schema in the folder: partition values are text there, and
+    without it "01" would be read back as the number 1."""
+    line = df.sparkSession.createDataFrame([(df.schema.json(),)], "value string")
+    line.coalesce(1).write.mode("overwrite").text(f"{path}/{SCHEMA_PART}")
+
+
 def write_routed(df: DataFrame, path: str, route: str, mode: str = "errorifexists") -> None:
-    """All routes in one pass: a Parquet folder per route value."""
+    """All routes in one pass: a Parquet folder per route value. Read it with
+    ``readers.read_partitioned``."""
     df.write.mode(mode).partitionBy(route).parquet(path)
+    _declare(df, path)
 
 
 def write_by_date(df: DataFrame, path: str, date: str = "event_date", mode: str = "overwrite") -> None:
     """Parquet by date. ``overwrite`` replaces only the dates in ``df``, and
-    records of one date are spread over all of that date's writers by AQE."""
+    records of one date are spread over all of that date's writers by AQE. Read
+    it with ``readers.read_partitioned``."""
     spread = df.hint("rebalance", F.col(date))
     spread.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(date).parquet(path)
+    _declare(df, path)
 
 
 def create_database(spark: SparkSession, name: str, location: str | None = None) -> None:
