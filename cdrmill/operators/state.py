@@ -4,11 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..sentinels import BLANK, ZERO
-from .lookup import NO_KEY, spread_key
 
 # State column (without its block prefix) -> column of the daily feed.
 DAILY_SOURCES: Mapping[str, str] = {
@@ -45,14 +44,13 @@ def merge_daily_state(
         *[F.col(c).alias(f"_b_{c}") for c in KEYS],
         *[F.col(f"{p}_{c}").alias(f"_b_{p}_{c}") for p in blocks for c in [*sources, "flag"]],
     )
-    # Rows without a subscriber match nothing; spread, they share no task.
-    a = a.withColumn("_a_key", spread_key("_a_subs_id", a.columns, mark=NO_KEY + "a"))
-    b = b.withColumn("_b_key", spread_key("_b_subs_id", b.columns, mark=NO_KEY + "b"))
-    joined = a.join(
-        b,
-        (F.col("_a_key") == F.col("_b_key")) & (F.col("_a_msisdn") == F.col("_b_msisdn")),
-        "full_outer",
-    )
+    # Rows without a subscriber match nothing: they bypass the join.
+    keyed = [df.filter(F.col(c).isNotNull()) for df, c in ((a, "_a_subs_id"), (b, "_b_subs_id"))]
+    alone = [df.filter(F.col(c).isNull()) for df, c in ((a, "_a_subs_id"), (b, "_b_subs_id"))]
+    same = (F.col("_a_subs_id") == F.col("_b_subs_id")) & (F.col("_a_msisdn") == F.col("_b_msisdn"))
+    joined = keyed[0].join(keyed[1], same, "full_outer")
+    for rows in alone:
+        joined = joined.unionByName(rows, allowMissingColumns=True)
     on_day = F.col("_a_subs_id").isNotNull() & F.col("_a_msisdn").isNotNull()
     known = on_day & F.col("_b_subs_id").isNotNull()
 
@@ -71,3 +69,33 @@ def merge_daily_state(
         out[f"{p}_flag"] = F.coalesce(choose(one if p == "chg" else old, one, old), F.lit(ZERO))
     order = [*KEYS, *[f"{p}_{c}" for p in blocks for c in [*sources, "flag"]]]
     return joined.select(*[out[c].alias(c) for c in order])
+
+
+# What the state table is bucketed by. Subscribers are unique in it but for
+# their numbers, so buckets are even.
+BUCKET_KEY = "subs_id"
+
+
+def write_state(state: DataFrame, table: str, buckets: int) -> None:
+    """Write a state table in buckets by subscriber, for merges to come."""
+    writer = state.write.bucketBy(buckets, BUCKET_KEY).sortBy(*reversed(KEYS))
+    writer.format("parquet").mode("overwrite").saveAsTable(table)
+
+
+def advance_state(
+    spark: SparkSession,
+    table: str,
+    daily: DataFrame,
+    new_table: str,
+    buckets: int,
+    sources: Mapping[str, str] = DAILY_SOURCES,
+) -> DataFrame:
+    """Merge a day into the state ``table`` and write ``new_table`` in the same
+    buckets (a table of its own: a run that fails leaves the old one).
+
+    The state is read bucket by bucket and never shuffled; only the day's
+    records are, to the buckets of their subscribers. What each task merges is
+    one bucket, which it writes as one file.
+    """
+    write_state(merge_daily_state(spark.read.table(table), daily, sources), new_table, buckets)
+    return spark.read.table(new_table)

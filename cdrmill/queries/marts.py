@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,6 +13,8 @@ from ..plans.daily_state import daily_state_job
 from ..plans.revenue import revenue_job
 from ..plans.run import RunInfo
 from ..sentinels import UNKNOWN
+from ..session import scratch_dir
+from ..sources import writers
 from .base import Registry, Tables, with_feeds
 from .lookups import ONE_PREFIX, REGION_CASE
 
@@ -171,3 +175,14 @@ def _state_sql() -> str:
 def full_outer_merge(t: Tables) -> DataFrame:
     run = RunInfo(filename="daily", load_ts="", job_id="J2", event_date="20230120")
     return daily_state_job(t.feed("state"), t.feed("daily"), run)
+
+
+@query(_state_sql())
+def bucketed_state_merge(t: Tables) -> DataFrame:
+    """The same merge over a state table kept in buckets."""
+    writers.create_database(t.spark, "cdrmill", f"{scratch_dir(t.spark)}/warehouse")
+    names = [f"cdrmill.state_{uuid.uuid4().hex}" for _ in range(2)]
+    buckets = t.spark.sparkContext.defaultParallelism
+    state.write_state(t.feed("state"), names[0], buckets)
+    merged = state.advance_state(t.spark, names[0], t.feed("daily"), names[1], buckets)
+    return merged.withColumns({"event_date": F.lit("20230120"), "job_id": F.lit("J2")})

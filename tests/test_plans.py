@@ -65,3 +65,23 @@ def test_small_prefixes_take_one_round_of_sums(tables):
     feeds = [stage(tables.feed(n), n) for n in ("revenue", "prefixes")]
     plan = physical(revenue_job(*feeds)["HLR"])
     assert "BroadcastHashJoin" in plan and len(re.findall(r"functions=\[sum\(", plan)) == 1
+
+
+def test_bucketed_state_is_not_shuffled(spark, tables, rows, no_broadcast, tmp_path):
+    from cdrmill.operators import state
+
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS states LOCATION '{tmp_path}/states'")
+    old, daily = stage(tables.feed("state"), "state"), stage(tables.feed("daily"), "daily")
+    state.write_state(old, "states.day1", 6)
+    merged = state.merge_daily_state(spark.read.table("states.day1"), daily)
+    plan = physical(merged).split("Join [")[1]
+    assert len(re.findall(r"Exchange hashpartitioning\(_a_subs_id#\d+, 6\)", plan)) == 1
+    assert len(re.findall("Exchange", plan)) == 1 and "Bucketed: true" in plan
+    new = state.advance_state(spark, "states.day1", daily, "states.day2", 6)
+    assert rows(new) == rows(state.merge_daily_state(old, daily).select(*new.columns))
+    # The next day finds the buckets again, one file each, and those without a subscriber.
+    keyed = new.filter("subs_id is not null")
+    assert len(keyed.inputFiles()) <= 6 + spark.sparkContext.defaultParallelism * 2
+    again = physical(state.merge_daily_state(new, daily)).split("Join [")[1]
+    assert len(re.findall("Exchange", again)) == 1
+    spark.sql("DROP DATABASE states CASCADE")
