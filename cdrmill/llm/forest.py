@@ -66,7 +66,8 @@ def shingle_sets(raw: np.ndarray, offsets: np.ndarray, words: int) -> list[np.nd
     at = np.searchsorted(texts, np.arange(len(offsets)))
     joined = hashes.copy()
     for k in range(1, words):
-        joined[: len(hashes) - k] = mix64(joined[: len(hashes) - k] * _PAIR + hashes[k:])
+        n = max(0, len(hashes) - k)
+        joined[:n] = mix64(joined[:n] * _PAIR + hashes[len(hashes) - n :])
     out = []
     for a, b in zip(at[:-1], at[1:]):
         if b - a >= words:

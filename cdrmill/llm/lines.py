@@ -149,7 +149,8 @@ def repeated_units(
     return (
         again.groupBy("_id", "_text")
         .agg(
-            F.collect_list(
+            # A set: rows that are alike say the same.
+            F.collect_set(
                 F.struct(
                     F.col("_unit").alias("unit"),
                     F.col("_end").alias("end"),
@@ -223,6 +224,7 @@ def _cut(columns: Sequence[str], min_words: int, unit: str):
             arrays = [pa.array(texts, pa.string()) if c == "text" else batch.column(c) for c in columns]
             arrays += [pa.array(spans, pa.list_(SPAN)), pa.array(n_units, pa.int32()), pa.array(n_removed, pa.int32())]
             yield pa.RecordBatch.from_arrays(arrays, [*columns, "removed", "n_units", "n_removed"])
+            pa.default_memory_pool().release_unused()
 
     return work
 

@@ -393,9 +393,10 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, usable: Column, limit: in
         for test in (F.col("_toxic") == 1, F.col("_toxic") != 1)
     ]
     chosen = F.broadcast(parts[0].unionByName(parts[1]))  # 2 * limit rows at most
-    return docs.join(chosen, docs["doc_id"] == chosen["_labelled"]).select(
-        "doc_id", F.coalesce("text", F.lit("")).alias("text"), (F.col("_toxic") == 1).alias("toxic")
-    )
+    texts = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    found = texts.join(chosen, texts["doc_id"] == chosen["_labelled"]).groupBy("doc_id", "_toxic")
+    # One text for each labelled id, however many rows carry the id.
+    return found.agg(F.min("text").alias("text")).select("doc_id", "text", (F.col("_toxic") == 1).alias("toxic"))
 
 
 def learn(docs: DataFrame, labels: DataFrame, usable: Column, limit: int = TRAINING_TEXTS) -> Machine:
@@ -427,6 +428,7 @@ def score_texts(
                 found = shared.value.probability(*texts_of(piece.column("_scored")))
                 arrays = [piece.column(i) for i in range(len(columns))]
                 yield pa.RecordBatch.from_arrays([*arrays, pa.array(found)], [*columns, score])
+            pa.default_memory_pool().release_unused()
 
     given = docs.select(*columns, F.col("text").alias("_scored"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*columns).schema)

@@ -432,3 +432,31 @@ def test_repeated_lines_of_any_length(spark, docs_of, tmp_path):
         for span in rows[i].removed:
             assert span.kept_doc == 0 and set(texts[i][span.start : span.end].split("\n")) <= {common, "- item", ""}
     assert rows[5].text == texts[5]
+
+
+@pytest.mark.parametrize("texts", [["a b"], ["a b c"], ["a b", "c"], ["", "a"], ["a b c d e", "a"]])
+def test_shingles_of_few_words(texts):
+    """Fewer words in a whole batch than a shingle has."""
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    sets = forest.shingle_sets(data, np.cumsum([0, *map(len, texts)]), 5)
+    assert [len(s) for s in sets] == [int(bool(t)) for t in texts]
+
+
+def test_alike_rows_have_one_list_of_repeats(docs_of):
+    text = "\n".join(f"line number {i} of a text that repeats itself often" for i in range(12))
+    docs = docs_of([text] * 60 + [text + "\nand more of it"], [1] * 60 + [2])
+    found = lines.repeated_units(docs, whole_lines=True).collect()
+    assert max(len(r._repeats) for r in found) <= 40
+    cut = lines.remove_repeats(docs, whole_lines=True).collect()
+    assert sum(r.n_removed == 0 for r in cut) == 60
+    (more,) = [r for r in cut if r.doc_id == 2]
+    assert more.text.strip() == "and more of it"
+
+
+def test_one_training_text_for_each_label(spark, docs_of):
+    from pyspark.sql import functions as F
+
+    docs = docs_of(["you fool"] * 50 + ["fine words", None], [1] * 50 + [2, 3])
+    labels = spark.createDataFrame([(1, 1, 1), (2, 1, 0), (3, 1, 0)], "doc_id long, quality int, toxic int")
+    rows = toxicity.labelled_texts(docs, labels, F.lit(True), 10).collect()
+    assert sorted((r.doc_id, r.text, r.toxic) for r in rows) == [(1, "you fool", True), (2, "fine words", False), (3, "", False)]
