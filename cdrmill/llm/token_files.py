@@ -240,7 +240,8 @@ def _read_files(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def read_token_files(files: DataFrame) -> DataFrame:
     """doc_id, start, n_tokens and ids (little-endian uint32, the end id last) of
     each document, from the files that ``write_token_files`` returned."""
-    given = files.select("path", "documents", "first_id").repartition("path")
+    # By number, or the short list of files would be folded into one task.
+    given = files.select("path", "documents", "first_id").repartition(max(1, files.count()), "path")
     return given.mapInArrow(_read_files, "doc_id long, start long, n_tokens long, ids binary")
 
 
