@@ -110,18 +110,18 @@ def location_index(
     """
     unique = list(keys) if unique is None else list(unique)
     payload = [F.col(source).alias(name) for name, source in take.items()]
-    layers = []
-    for priority, key in enumerate(keys):
-        layer = master.select(
-            F.col(key).alias("loc_key"), F.lit(priority).alias("loc_priority"), *payload
-        ).filter(F.col("loc_key").isNotNull())
-        layers.append(keep_one(layer, ["loc_key"]) if key in unique else layer)
-    index = reduce(DataFrame.unionByName, layers)
+    entries = F.array(
+        *[F.struct(F.col(k).alias("loc_key"), F.lit(i).alias("loc_priority")) for i, k in enumerate(keys)]
+    )
+    index = master.select(F.inline(entries), *payload).filter(F.col("loc_key").isNotNull())
     if set(unique) == set(keys):
         return keep_one(index, ["loc_key"], ["loc_priority"])
     # Rows of the best priority, all of them where duplicates are kept.
     best = index.groupBy("loc_key").agg(F.min("loc_priority").alias("loc_priority"))
-    return index.join(best, ["loc_key", "loc_priority"])
+    found = index.join(best, ["loc_key", "loc_priority"])
+    single = F.col("loc_priority").isin(*[i for i, k in enumerate(keys) if k in unique])
+    once = keep_one(found.filter(single), ["loc_key"])
+    return once.unionByName(found.filter(~single)) if unique else found
 
 
 def lookup_location(
@@ -252,14 +252,13 @@ def match_location(
     counts as UNKNOWN for the kinds in ``unknown_area_for``.
     """
     columns = list(dict.fromkeys([*MASTER_COLUMNS, *take_also]))
-    layers = []
-    for key in kinds:
+
+    def entry(key: str) -> Column:
         area = null_to("area_sales", UNKNOWN) if key in unknown_area_for else F.col("area_sales")
-        payload = [(area if c == "area_sales" else F.col(c)).alias(f"m_{c}") for c in columns]
-        layers.append(
-            master.select(F.lit(key).alias("_kind"), F.col(key).alias("_key"), *payload)
-        )
-    index = reduce(DataFrame.unionByName, layers)
+        return F.struct(F.lit(key).alias("_kind"), F.col(key).alias("_key"), area.alias("m_area_sales"))
+
+    rest = [F.col(c).alias(f"m_{c}") for c in columns if c != "area_sales"]
+    index = master.select(F.inline(F.array(*[entry(key) for key in kinds])), *rest)
     searched = F.when(~(is_blank(location) | (F.col(location) == "|")), F.col(location))
     if counts is not None:
         # Cells are counted alone: a cell is looked up in one or two columns.

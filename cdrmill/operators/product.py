@@ -12,7 +12,7 @@ from ..functions.text import as_col, fixed
 from ..sentinels import BLANK, NOT_QUALIFIED
 from .lookup import lookup
 from .salted import KeyCounts
-from .skew import HOT_ROWS
+from .skew import HOT_ROWS, keep_one
 
 LEVELS = ("l4_name", "l3_name", "l2_name", "l1_name")
 
@@ -107,6 +107,9 @@ def classify_product_by_service(
     each try is a lookup on (group, key), which is null for groups that do not
     make it. A level still "NQ" after one try takes the next. Keys are counted
     in ``probe``, a frame with the same columns, or in ``df``.
+
+    The dimension is exploded and made unique ahead of the tries, under the same
+    names for all three, so they share its one scan and exchange.
     """
     group = service_group(service_filter)
     cascade = F.col("_svc").isin("s2", "s3")
@@ -117,7 +120,9 @@ def classify_product_by_service(
         "_key2": F.when(cascade, F.col(offer)),
         "_key3": F.when(cascade, F.col(service_filter)),
     }
-    keyed = products_by_service(products, levels)
+    keyed = products_by_service(products, levels).filter(F.col("rkey").isNotNull())
+    if unique:
+        keyed = keep_one(keyed, ["svc", "rkey"])
     out = df.withColumn("_svc", group).withColumns(dict(tries))
     rows = (df if probe is None else probe).withColumn("_svc", group)
     for key in tries:
@@ -127,7 +132,7 @@ def classify_product_by_service(
             {"_svc": "svc", key: "rkey"},
             {f"{key}_{c}": c for c in levels},
             hit=f"{key}_hit",
-            unique=unique,
+            unique=False,
             spread_by=spread_by,
             counts=KeyCounts(rows, {"_svc": F.col("_svc"), key: tries[key]}, hot_rows),
         )

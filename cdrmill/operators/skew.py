@@ -188,10 +188,13 @@ def dense_rank_by(
 
 
 def keep_one(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> DataFrame:
-    """One row per key: the smallest by ``order``, then by the other columns.
+    """One row per key: the smallest by ``order``, then by the other columns,
+    a filled value before a null in each.
 
     An aggregate, so copies of a key collapse before the shuffle and the choice
-    does not depend on arrival.
+    does not depend on arrival. It sorts by key: a hash aggregate holds values of
+    fixed width alone, which whole rows of text are not. A sort-merge join on the
+    key takes the rows as they are sorted.
     """
     keys = list(keys)
     rest = [c for c in df.columns if c not in keys]
@@ -199,9 +202,10 @@ def keep_one(df: DataFrame, keys: Sequence[str], order: Sequence[str] = ()) -> D
     ranked = first + [c for c in rest if c not in first]
     if not ranked:
         return df.distinct()
+    filled_first = [part for c in ranked for part in (F.col(c).isNull().alias(f"_no_{c}"), F.col(c))]
     return (
         df.groupBy(*keys)
-        .agg(F.min(F.struct(*ranked)).alias("_row"))
+        .agg(F.min(F.struct(*filled_first)).alias("_row"))
         .select(*[F.col(c) if c in keys else F.col(f"_row.{c}").alias(c) for c in df.columns])
     )
 

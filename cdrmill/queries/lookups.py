@@ -16,8 +16,8 @@ query = registry.add
 
 # One subscriber row per msisdn, the smallest by its columns in order.
 ONE_SUBSCRIBER = """one_subscriber AS (SELECT msisdn, subs_id, cust_type_desc, cust_subtype_desc FROM
-    (SELECT *, row_number() OVER (PARTITION BY msisdn ORDER BY subs_id NULLS FIRST, cust_type_desc NULLS FIRST,
-    cust_subtype_desc NULLS FIRST) AS rn FROM subscribers) AS numbered WHERE rn = 1)"""
+    (SELECT *, row_number() OVER (PARTITION BY msisdn ORDER BY subs_id NULLS LAST, cust_type_desc NULLS LAST,
+    cust_subtype_desc NULLS LAST) AS rn FROM subscribers) AS numbered WHERE rn = 1)"""
 
 
 @query(
@@ -276,8 +276,8 @@ def derived_key_join(t: Tables) -> DataFrame:
     with_feeds(
         ["payments", "products"],
         """keyed AS (SELECT coalesce(nullif(mapping_key_type, ''), rkey) AS k, l4_name, l3_name, l2_name, l1_name FROM products),
-        one AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY l4_name NULLS FIRST, l3_name NULLS FIRST,
-        l2_name NULLS FIRST, l1_name NULLS FIRST) AS rn FROM keyed) AS numbered WHERE rn = 1)
+        one AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY k ORDER BY l4_name NULLS LAST, l3_name NULLS LAST,
+        l2_name NULLS LAST, l1_name NULLS LAST) AS rn FROM keyed) AS numbered WHERE rn = 1)
         SELECT bss_order_id, coalesce(l4_name, 'NQ') AS l4_name, coalesce(l3_name, 'NQ') AS l3_name,
         coalesce(l2_name, 'NQ') AS l2_name, coalesce(l1_name, 'NQ') AS l1_name
         FROM payments LEFT JOIN one ON k = topping_id""",
@@ -295,8 +295,8 @@ PRODUCT_CASCADE = """by_service AS (
     UNION ALL SELECT 's2', rkey, l4_name, l3_name, l2_name, l1_name FROM products WHERE service_type = '2_' AND product_name IS NULL
     UNION ALL SELECT 's3', rkey, l4_name, l3_name, l2_name, l1_name FROM products WHERE service_type = '3_' AND product_name IS NULL
     UNION ALL SELECT 's5', rkey, l4_name, l3_name, l2_name, l1_name FROM products WHERE service_type = '5_'),
-    one_product AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY svc, rkey ORDER BY l4_name NULLS FIRST,
-    l3_name NULLS FIRST, l2_name NULLS FIRST, l1_name NULLS FIRST) AS rn FROM by_service) AS numbered WHERE rn = 1),
+    one_product AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY svc, rkey ORDER BY l4_name NULLS LAST,
+    l3_name NULLS LAST, l2_name NULLS LAST, l1_name NULLS LAST) AS rn FROM by_service) AS numbered WHERE rn = 1),
     serviced AS (SELECT *, CASE WHEN service_filter LIKE '1!_%' ESCAPE '!' THEN 's1' WHEN service_filter LIKE '2!_%' ESCAPE '!'
     THEN 's2' WHEN service_filter LIKE '3!_%' ESCAPE '!' THEN 's3' WHEN service_filter LIKE '5!_%' ESCAPE '!' THEN 's5'
     ELSE 'sR' END AS service FROM {source}),
@@ -407,7 +407,7 @@ def dim_filter_join(t: Tables) -> DataFrame:
 
 
 ONE_PREFIX = """one_prefix AS (SELECT * FROM (SELECT enriched_prefix, area, area_name, regional, row_number() OVER
-    (PARTITION BY enriched_prefix ORDER BY area NULLS FIRST, area_name NULLS FIRST, regional NULLS FIRST) AS rn
+    (PARTITION BY enriched_prefix ORDER BY area NULLS LAST, area_name NULLS LAST, regional NULLS LAST) AS rn
     FROM prefixes) AS numbered WHERE rn = 1)"""
 REGION_CASE = (
     "CASE regional "

@@ -133,6 +133,19 @@ def dedup_keep_one(t: Tables) -> DataFrame:
     return skew.keep_one(_lines(t), ["l_orderkey", "l_linenumber"], ["l_extendedprice"])
 
 
+@query(
+    """SELECT l_orderkey, discount, l_partkey, l_suppkey FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey
+    ORDER BY discount NULLS LAST, l_partkey, l_suppkey) AS rn FROM (SELECT l_orderkey, l_partkey, l_suppkey,
+    CASE WHEN l_discount >= 0.02 THEN l_discount END AS discount FROM lineitem)) WHERE rn = 1"""
+)
+def dedup_filled_first(t: Tables) -> DataFrame:
+    """A filled value goes before a null, also where the null is the smaller."""
+    gaps = t.lineitem.select(
+        "l_orderkey", "l_partkey", "l_suppkey", F.when(F.col("l_discount") >= 0.02, F.col("l_discount")).alias("discount")
+    )
+    return skew.keep_one(gaps, ["l_orderkey"], ["discount"])
+
+
 @query(
     with_feeds(
         ["usage_feed"],

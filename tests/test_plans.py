@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 from cdrmill.operators import skew
 from cdrmill.plans import usage
@@ -85,3 +86,37 @@ def test_bucketed_state_is_not_shuffled(spark, tables, rows, no_broadcast, tmp_p
     again = physical(state.merge_daily_state(new, daily)).split("Join [")[1]
     assert len(re.findall("Exchange", again)) == 1
     spark.sql("DROP DATABASE states CASCADE")
+
+
+def test_product_tries_share_one_dimension(tables, rows, no_broadcast):
+    """The three lookups of the cascade scan and shuffle the products once."""
+    from cdrmill.operators import product
+
+    usage_feed, products = stage(tables.feed("usage_feed"), "usage_feed"), stage(tables.feed("products"), "products")
+    records = usage_feed.select("rec_id", "service_filter", "b_party", "vas_code", "event_type").withColumn(
+        "offer_id", F.col("b_party")
+    )
+    done = product.classify_product_by_service(records, products, hot_rows=None, spread_by=["rec_id"])
+    found = rows(done)
+    plan = physical(done).split("Initial Plan")[0]
+    dimension = [line for line in plan.splitlines() if "FileScan" in line and "mapping_key_type" in line]
+    assert len(dimension) == 1 and plan.count("ReusedExchange") >= 2
+    assert found == rows(product.classify_product_stepwise(records, products))
+
+
+def test_located_records_scan_the_master_once(tables, no_broadcast):
+    names = ("usage_feed", "subscribers", "history_mtd", "history_mm", "locations")
+    feeds = [stage(tables.feed(n), n) for n in names]
+    plan = physical(usage.usage_stage1(*feeds, RUN, hot_rows=None)["STAGED"])
+    assert len([line for line in plan.splitlines() if "FileScan" in line and "cgi_post" not in line and "eci#" in line]) == 1
+
+
+def test_rank_of_unique_records_needs_no_window(tables):
+    from cdrmill.operators import duplicates
+
+    orders = tables.orders.select("o_orderkey", "o_custkey", "o_totalprice")
+    known = duplicates.mark_duplicates(
+        orders, ["o_orderkey", "o_custkey"], ["o_totalprice"], status=None, unique_by=["o_orderkey"]
+    )
+    assert "Window" not in physical(known) and "Exchange" not in physical(known)
+    assert duplicates.has_repeats(orders, ["o_custkey"]) and not duplicates.has_repeats(orders, ["o_orderkey"])

@@ -85,7 +85,7 @@ def test_keep_one_ignores_arrival(skewed, rows):
     assert rows(once) == rows(again)
     brute = {}
     for r in skewed.collect():
-        rank = (r.v is not None, r.v or 0, r.id)
+        rank = (r.v is None, r.v or 0, r.id)
         if r.k not in brute or rank < brute[r.k][0]:
             brute[r.k] = (rank, r.id)
     assert sorted((r.k or "", r.id) for r in once.collect()) == sorted(
@@ -242,3 +242,9 @@ def test_spread_keys_match_nothing_and_differ(skewed):
     spread = skewed.filter(F.col("k").isNull()).select(spread_key("k", ["id"]).alias("s"))
     assert spread.filter(~is_spread("s")).count() == 0
     assert spread.distinct().count() == spread.count()
+
+
+def test_keep_one_takes_filled_values(spark):
+    copies = [("k", None, "z"), ("k", "B2C", "y"), ("k", "B2C", None), ("l", None, None)]
+    df = spark.createDataFrame(copies, "k string, a string, b string")
+    assert sorted(map(tuple, skew.keep_one(df, ["k"]).collect())) == [("k", "B2C", "y"), ("l", None, None)]
