@@ -12,6 +12,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from cdrmill.llm import bpe, forest, latent, lines, ppm, token_files, toxicity
+from cdrmill.llm.common import texts_of
 from cdrmill.llm.components import components
 
 ODD = [
@@ -460,3 +461,30 @@ def test_one_training_text_for_each_label(spark, docs_of):
     labels = spark.createDataFrame([(1, 1, 1), (2, 1, 0), (3, 1, 0)], "doc_id long, quality int, toxic int")
     rows = toxicity.labelled_texts(docs, labels, F.lit(True), 10).collect()
     assert sorted((r.doc_id, r.text, r.toxic) for r in rows) == [(1, "you fool", True), (2, "fine words", False), (3, "", False)]
+
+
+def test_screen_keeps_every_candidate(spark):
+    """Folding all passages into all blocks finds no candidate that was screened out."""
+    rng = np.random.default_rng(5)
+    items = [" ".join(f"i{n}" for n in rng.integers(0, 900, 30 + k % 40)) for k in range(60)]
+    texts = []
+    for k in range(120):
+        words = [f"c{n}" for n in rng.integers(0, 5000, 60)]
+        share = rng.integers(0, 40)
+        words[10 : 10 + share] = items[k % 60].split()[:share]
+        texts.append(" ".join(words))
+    docs = spark.createDataFrame(enumerate([*texts, "", "i1"]), "doc_id long, text string")
+    benchmark = spark.createDataFrame(enumerate(items), "item_id long, text string")
+    (judge,) = latent._judges(docs, benchmark)
+    assert len(judge.blocks) > 1
+    passages = latent.cut_passages(judge.weights, *texts_of(pa.array([*texts, "", "i1"], pa.large_string())))
+    near, met = judge.screen.near(passages), 0
+    for block, (folder, _, item_vectors) in enumerate(judge.blocks):
+        vectors = folder.fold(passages, np.arange(len(passages.keep)))
+        squares = (vectors.astype(float) ** 2).sum(axis=1)
+        cosine = vectors @ item_vectors / np.sqrt(np.maximum(squares, 1e-12))[:, None]
+        fair = squares > latent.HELD * np.maximum(passages.length, 1e-9)
+        candidates = np.flatnonzero(fair & (cosine >= latent.COSINE).any(axis=1))
+        assert set(candidates) <= set(near.get(block, ()))
+        met += len(candidates)
+    assert met > 50
