@@ -2,8 +2,9 @@
 
 Each task first reduces its own links to a forest. Then every node points its
 larger neighbours to its smallest one, and its smaller ones likewise, in turn,
-until each component is a star around its smallest node. The rounds grow with
-the logarithm of the longest chain; no node's neighbours are collected.
+until each component is a star around its smallest node, which one grouping of
+the nodes tells. The rounds grow with the logarithm of the longest chain; stars
+take none. No node's neighbours are collected.
 """
 
 from __future__ import annotations
@@ -66,16 +67,25 @@ def _star(edges: DataFrame, larger: bool) -> DataFrame:
     return out.filter(F.col("a") != F.col("b")).distinct()
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether each node points to one node at most, and to none that points on."""
+    none = F.lit(None).cast("long")
+    ends = edges.select(F.col("a").alias("node"), F.col("b").alias("to"), F.lit(False).alias("root")).unionByName(
+        edges.select(F.col("b").alias("node"), none.alias("to"), F.lit(True).alias("root"))
+    )
+    nodes = ends.groupBy("node").agg(
+        F.min("to").alias("least"), F.max("to").alias("most"), F.max("root").alias("root")
+    )
+    open_ends = (F.col("least") < F.col("most")) | (F.col("root") & F.col("least").isNotNull())
+    return not nodes.agg(F.count_if(open_ends)).first()[0]
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node, root (smallest node of the component) for all nodes that have a
     link to another node, except the roots. ``edges`` has a and b (long)."""
     edges = edges.select("a", "b").filter(F.col("a") != F.col("b"))
-    edges, seen = staged(edges.mapInArrow(_forest, "a long, b long"), "edges"), None
-    while True:
-        edges = staged(_star(_star(edges, True), False), "edges")
-        state = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
-        if state == seen:
-            return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
-        seen = state
-
-
+    edges = staged(edges.mapInArrow(_forest, "a long, b long").distinct(), "edges")
+    while not _are_stars(edges):
+        edges = staged(_star(edges, True), "edges")
+        edges = staged(_star(edges, False), "edges")
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))

@@ -35,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import attach, each_batch, mix64, staged, text_chunks, texts_of, word_hashes
@@ -53,6 +53,9 @@ HUBS = 8
 # deviations below what is expected at a similarity of 0.8.
 ALIKE_BITS = 95
 ALIKE_VALUES = 82
+# Bits for each class that a filter of texts tells apart, and their bound (16 MB).
+BITS_EACH = 16
+MOST_BITS = 1 << 27
 
 _SEEDS = mix64(np.arange(1, 2 * HASHES + 1, dtype=np.uint64))
 _FACTORS = (_SEEDS[:HASHES] | np.uint64(1)).astype(np.uint32)
@@ -144,13 +147,13 @@ MET = "region long, deeper long, rep long, bits binary, other long"
 
 
 def _walk(ends: bool):
-    """Sorted rows of ORDERED -> pairs (rep, other) that are alike. With
-    ``ends`` also the leaders of the task's first and last region (other null),
-    as these may go on in other tasks."""
+    """Sorted rows of ORDERED -> pairs (rep, other) that are alike, without those
+    that the task's other pairs connect. With ``ends`` also the leaders of the
+    task's first and last region (other null), as these may go on in other tasks."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, leaders, outer = None, [], []
-        first = True
+        first, sets = True, Sets()
         for batch in batches:
             regions = batch.column("region").to_numpy()
             n = len(regions)
@@ -176,7 +179,7 @@ def _walk(ends: bool):
                     if len(leaders) > LEADERS:
                         leaders = [x for x in leaders if x[0] >> 30 == deeper >> 30]
                 alike = [x[1] for x in leaders if HASHES - (x[3] ^ code).bit_count() >= ALIKE_BITS]
-                pairs += [(rep, other) for other in alike if other != rep]
+                pairs += [(rep, other) for other in alike if sets.join(rep, other)]
                 if not alike:
                     leaders.append((deeper, rep, bits, code))
             yield _met([(None, None, a, None, b) for a, b in pairs])
@@ -206,6 +209,26 @@ def neighbours(classes: DataFrame) -> DataFrame:
     return pairs.select(F.col("rep").alias("a"), F.col("other").alias("b"))
 
 
+def among(texts: DataFrame, reps: DataFrame, count: int) -> DataFrame:
+    """The rows of ``texts`` whose doc_id is a ``rep``, and few others: those that
+    share a bit with one. Ahead of a shuffle, so that few texts travel; ``count``
+    reps beyond the bound of the bits let more of the others through."""
+    blocks = -(-BITS_EACH * max(1, count) // (1 << 15))
+    bits = min(MOST_BITS, blocks << 15)
+
+    def bit(column: str) -> Column:
+        return F.pmod(F.xxhash64(column), F.lit(bits)) + 1
+
+    marks = reps.select(bit("rep").alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("block"))
+    marks = marks.agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("marks"))
+    asked = texts.withColumn("bit", bit("doc_id"))
+    asked = asked.join(F.broadcast(marks), F.bitmap_bucket_number("bit") == F.col("block"))
+    place = F.bitmap_bit_position("bit")
+    byte = F.substring("marks", (F.floor(place / 8) + 1).cast("int"), F.lit(1))
+    value = F.conv(F.hex(byte), 16, 10).cast("long")
+    return asked.filter(F.getbit(value, (place % 8).cast("int")) == 1).select(*texts.columns)
+
+
 MEMBER = "grp long, rep long, part long, large boolean, signature binary, elements binary"
 
 
@@ -331,14 +354,17 @@ def _across(same: int):
     return work
 
 
-def _rooted(members: DataFrame, links: DataFrame) -> DataFrame:
+def _rooted(members: DataFrame, found: DataFrame) -> DataFrame:
     """Add the root of each member's component."""
-    found = components(links)
     return members.join(found, members["rep"] == found["node"], "left").select(
         members["*"], F.coalesce("root", "rep").alias("root")
     )
 
 
+def _edges(found: DataFrame) -> DataFrame:
+    return found.select(F.col("node").alias("a"), F.col("root").alias("b"))
+
+
 def _meet(members: DataFrame, asking: DataFrame, plan: DataFrame, total: int, same: int) -> DataFrame:
     """Links between all members of large groups and the asking ones. ``plan``
     has each group's size, its parts (cells of its members) and asks (cells of
@@ -358,21 +384,23 @@ def _meet(members: DataFrame, asking: DataFrame, plan: DataFrame, total: int, sa
 
 
 def exact_links(texts: DataFrame, groups: DataFrame, words: int, same: int) -> DataFrame:
-    """Links (a, b) among the classes of each group. ``texts``: doc_id, text;
-    ``groups``: node, root."""
+    """Links (a, b) among the classes of each group, and with the roots of those
+    that links connect. ``texts``: doc_id, text; ``groups``: node, root."""
     roots = groups.select(F.col("root").alias("node"), "root").distinct()
     nodes = groups.unionByName(roots).select(F.col("node").alias("rep"), F.col("root").alias("grp"))
     nodes = staged(nodes, "groups")
     sizes = nodes.groupBy("grp").agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") > CELL)
     large = staged(sizes.withColumn("parts", F.ceil(F.col("size") / F.lit(CELL)).cast("long")), "large")
-    placed = attach(nodes, large, ["grp"], "size", nodes.count(), ["rep"]).select(
+    count = nodes.count()
+    placed = attach(nodes, large, ["grp"], "size", count, ["rep"]).select(
         "grp",
         "rep",
         F.coalesce(F.pmod(F.xxhash64("rep"), "parts"), F.lit(0)).cast("long").alias("part"),
         F.col("parts").isNotNull().alias("large"),
     )
     placed = staged(placed, "placed")
-    found = texts.join(placed, texts["doc_id"] == placed["rep"]).select("grp", "rep", "part", "large", "text")
+    some = among(texts, placed, count)
+    found = some.join(placed, some["doc_id"] == placed["rep"]).select("grp", "rep", "part", "large", "text")
     members = staged(found.mapInArrow(_members(words), MEMBER), "members")
     cells = members.repartition("grp", "part").sortWithinPartitions("grp", "part")
     first = staged(cells.mapInArrow(_within(same), LINKED), "links")
@@ -387,13 +415,14 @@ def exact_links(texts: DataFrame, groups: DataFrame, words: int, same: int) -> D
         F.slice(F.sort_array(F.collect_list(F.struct("agree", F.col("a").alias("rep"))), False), 1, HUBS).alias("best")
     )
     centres = staged(centres.select(F.explode("best.rep").alias("rep")).distinct(), "centres")
-    rooted = staged(_rooted(inside, links), "rooted")
+    found = components(links)
+    rooted = staged(_rooted(inside, found), "rooted")
     asking = rooted.join(centres, "rep", "left_semi").withColumn("ask", F.lit(0))
     plan = large.withColumn("asks", F.lit(1))
-    links = staged(links.unionByName(_meet(rooted, asking, plan, total, same)), "links")
+    found = components(_edges(found).unionByName(_meet(rooted, asking, plan, total, same)))
 
     # What is apart from the largest part of its group, with all members.
-    rooted = staged(_rooted(inside, links), "rooted")
+    rooted = staged(_rooted(inside, found), "rooted")
     parts = rooted.groupBy("grp", "root").agg(F.count(F.lit(1)).alias("n"))
     main = parts.groupBy("grp").agg(F.max(F.struct("n", "root")).alias("main"), F.sum("n").alias("size"))
     main = main.filter(F.col("size") > F.col("main.n")).select(
@@ -409,7 +438,7 @@ def exact_links(texts: DataFrame, groups: DataFrame, words: int, same: int) -> D
         *rooted.columns, F.pmod(F.xxhash64("rep"), "asks").cast("int").alias("ask")
     )
     more = _meet(rooted, staged(apart, "asking"), plan.drop("main"), total, same)
-    return links.unionByName(more)
+    return _edges(found).unionByName(more)
 
 
 JUDGED = "doc_id long, n_shingles long, component_id long, kept boolean"
