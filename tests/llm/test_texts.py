@@ -488,3 +488,19 @@ def test_screen_keeps_every_candidate(spark):
         assert set(candidates) <= set(near.get(block, ()))
         met += len(candidates)
     assert met > 50
+
+
+@pytest.mark.parametrize("entries", [40, 1_500])
+def test_ppm_tries_too_large_for_a_task(spark, docs_of, entries):
+    """Tries in bins score as whole ones do, whatever a task may hold."""
+    from pyspark.sql import functions as F
+
+    texts = [*(prose(i, 60) for i in range(12)), *(f"{i} ñandú x{i * i} a ab abc" for i in range(30)), None, "", "zz"]
+    docs = docs_of(texts).withColumn("train", F.col("doc_id") % 5 != 2)
+    docs = docs.withColumn("lang", F.when(F.col("doc_id") < 12, "en").otherwise("es"))
+    whole = {r.doc_id: r for r in ppm.score_texts(docs).collect()}
+    binned = {r.doc_id: r for r in ppm.score_texts(docs, entries=entries).collect()}
+    assert set(binned) == set(whole) == set(range(len(texts)))
+    for doc, r in binned.items():
+        assert r[:-1] == whole[doc][:-1]
+        assert r.score == pytest.approx(whole[doc].score, rel=1e-6, abs=1e-6)
