@@ -17,6 +17,7 @@ import json
 import re
 from collections.abc import Iterator
 from functools import partial
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -110,6 +111,10 @@ BUCKETED = "bucket long, block long, codes binary, lengths binary, words binary"
 _LINE = "\n"
 # Units of this many are encoded in one call.
 _TOGETHER = 8_192
+# A word of the letters of Latin-1 (as sure to be letters to every library): the
+# tokenizer's pattern takes it whole, so its model can be asked at once.
+_LETTERS = "A-Za-zÀ-ÖØ-öø-ÿ"
+_PLAIN = f"^ ?[{_LETTERS}]+$"
 
 
 def id_kind(text: str) -> str:
@@ -119,6 +124,24 @@ def id_kind(text: str) -> str:
     return "<u2" if most < 1 << 16 else "<u4"
 
 
+def _by_words(given: dict) -> bool:
+    """Whether a vocabulary is plain byte-level BPE, cut by the usual pattern."""
+    ahead, model = given.get("pre_tokenizer") or {}, given["model"]
+    return (
+        (ahead.get("type"), ahead.get("add_prefix_space"), ahead.get("use_regex", True)) == ("ByteLevel", False, True)
+        and given.get("normalizer") is None
+        and model.get("type") == "BPE"
+        and not any(model.get(k) for k in ("dropout", "continuing_subword_prefix", "end_of_word_suffix"))
+    )
+
+
+def _byte_signs() -> dict[int, str]:
+    """A space and the letters as the vocabulary spells their bytes."""
+    sign_of = {b: c for c, b in _byte_of().items()}
+    letters = filter(re.compile(f"[ {_LETTERS}]").match, map(chr, range(256)))
+    return {ord(c): "".join(sign_of[b] for b in c.encode()) for c in letters}
+
+
 class Encoder:
     """The tokenizers library on distinct units."""
 
@@ -133,6 +156,7 @@ class Encoder:
         self.tokenizer.no_padding()
         self.kind = id_kind(text)
         self.added = pa.array(added_tokens(text), pa.string())
+        self.model, self.signs = self.tokenizer.model, _byte_signs() if _by_words(json.loads(text)) else None
         (self.line,) = self._ids(_LINE)
 
     def _ids(self, text: str) -> list[int]:
@@ -151,7 +175,15 @@ class Encoder:
             sizes[i] = len(ids)
             parts.append(ids)
             order.append(np.array([i]))
-        rest = np.flatnonzero(~alone)
+        plain = np.zeros(len(units), dtype=bool)
+        if self.signs is not None:
+            plain = pc.match_substring_regex(units, _PLAIN).to_numpy(zero_copy_only=False) & ~alone
+            words = units.filter(pa.array(plain)).to_pylist()
+            found = [[t.id for t in self.model.tokenize(w.translate(self.signs))] for w in words]
+            sizes[plain] = [len(ids) for ids in found]
+            parts.append(np.fromiter(chain.from_iterable(found), dtype="<u4"))
+            order.append(np.flatnonzero(plain))
+        rest = np.flatnonzero(~alone & ~plain)
         texts = units.take(pa.array(rest)).to_pylist()
         for at in range(0, len(rest), _TOGETHER):
             some = rest[at : at + _TOGETHER]

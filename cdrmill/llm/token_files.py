@@ -33,7 +33,7 @@ END_ID = 0
 SEQUENCE = 2_048
 # Sequences in a record batch.
 BATCH_ROWS = 64
-# Units whose ids a task remembers, and text that it encodes at a time.
+# Units whose ids a Python worker remembers, and text that a task encodes at a time.
 REMEMBERED = 400_000
 ENCODED_BYTES = 4 << 20
 DOCUMENT_FIELDS = [("doc_id", pa.int64()), ("first", pa.int64()), ("n_tokens", pa.int64())]
@@ -50,8 +50,14 @@ def sequence_schema(length: int, wide: bool) -> pa.Schema:
     )
 
 
+# Marks that always begin a piece of their own behind a letter.
+_MARKS = ".,;:!?"
+
+
 class Memory:
-    """Ids of units met before, in flat arrays. Full, it starts anew."""
+    """Ids of units met before, in flat arrays. A unit of letters and marks has the
+    ids of both, and these are remembered alone. Full, it goes on with what several
+    chunks had; so it may be kept from one task to the next."""
 
     def __init__(self, encoder):
         self.encoder = encoder
@@ -61,11 +67,24 @@ class Memory:
         self.number: dict[str, int] = {}
         self.values = np.array([END_ID], dtype="<u4")  # entry 0 is the end of a text
         self.starts, self.sizes = np.zeros(1, np.int64), np.ones(1, np.int64)
+        self.met = np.zeros(1, np.int64)  # chunks that had an entry
 
-    def of(self, units: pa.Array) -> np.ndarray:
-        """Entry numbers of distinct units."""
-        if len(self.number) > REMEMBERED:
+    def _forget(self) -> None:
+        again = self.met > 1
+        if 2 * np.count_nonzero(again) > REMEMBERED:
             self._clear()
+            return
+        again[0] = True
+        kept = np.flatnonzero(again)
+        number = np.cumsum(again) - 1
+        self.number = {text: int(number[at]) for text, at in self.number.items() if again[at]}
+        self.values = expand(kept, self.starts, self.sizes, self.values)
+        self.sizes = self.sizes[kept]
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.met = np.ones(len(kept), np.int64)
+
+    def _numbers(self, units: pa.Array) -> np.ndarray:
+        """Entry numbers of distinct units without marks, or of marks."""
         texts = units.to_pylist()
         found = np.fromiter((self.number.get(t, -1) for t in texts), np.int64, len(texts))
         new = np.flatnonzero(found < 0)
@@ -77,16 +96,51 @@ class Memory:
             self.starts = np.concatenate([self.starts, len(self.values) + np.cumsum(sizes) - sizes])
             self.sizes = np.concatenate([self.sizes, sizes])
             self.values = np.concatenate([self.values, ids])
+            self.met = np.concatenate([self.met, np.zeros(len(new), np.int64)])
+        self.met[found] += 1
         return found
 
+    def of(self, units: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Entry numbers of distinct units: of each, or of what is ahead of its
+        marks, and of the marks (-1 where there are none)."""
+        if len(self.number) > REMEMBERED:
+            self._forget()
+        ahead = pc.ascii_rtrim(units, _MARKS)
+        parted = pc.and_(pc.not_equal(ahead, units), pc.match_substring_regex(ahead, "[A-Za-z]$"))
+        # A string that the tokenizer cuts out first may hold marks.
+        parted = pc.and_(parted, pc.invert(pc.is_in(units, self.encoder.added)))
+        ahead = pc.if_else(parted, ahead, units)
+        rows = np.flatnonzero(parted.to_numpy(zero_copy_only=False))
+        marks = [t[n:] for t, n in zip(units.take(rows).to_pylist(), pc.utf8_length(ahead.take(rows)).to_pylist())]
+        coded = pa.concat_arrays([ahead, pa.array(marks, ahead.type)]).dictionary_encode()
+        found = self._numbers(coded.dictionary)[coded.indices.to_numpy(zero_copy_only=False)]
+        behind = np.full(len(units), -1, dtype=np.int64)
+        behind[rows] = found[len(units) :]
+        return found[: len(units)], behind
+
+
+_memories: dict[int, Memory] = {}
+
+
+def memory_of(text: str) -> Memory:
+    """One memory per Python worker and vocabulary."""
+    if hash(text) not in _memories:
+        _memories.clear()
+        _memories[hash(text)] = Memory(encoder_of(text))
+    return _memories[hash(text)]
+
 
 def encode_chunk(column: pa.Array, split, memory: Memory) -> tuple[np.ndarray, np.ndarray]:
     """All ids of some texts, an end id after each text, and the ids per text."""
     units, offsets = split(column.fill_null(""))
     coded = units.dictionary_encode()
-    entry = memory.of(coded.dictionary)
-    ends = offsets[1:] - offsets[0]
-    codes = np.insert(entry[coded.indices.to_numpy(zero_copy_only=False)], ends, 0)
+    ahead, behind = memory.of(coded.dictionary)
+    at, ends = coded.indices.to_numpy(zero_copy_only=False), offsets[1:] - offsets[0]
+    # What is ahead of a unit's marks, then these.
+    codes = np.stack([ahead[at], behind[at]], axis=1).reshape(-1)
+    kept = codes >= 0
+    ends = np.concatenate([[0], np.cumsum(kept)])[2 * ends]
+    codes = np.insert(codes[kept], ends, 0)
     counted = np.cumsum(memory.sizes[codes])[ends + np.arange(len(column))]
     ids = expand(codes, memory.starts, memory.sizes, memory.values)
     return ids, np.diff(counted, prepend=0)
@@ -132,7 +186,7 @@ def _write_files(folder: str, shared, length: int, wide: bool):
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        memory, split = Memory(encoder_of(shared.value)), make_splitter(added_tokens(shared.value))
+        memory, split = memory_of(shared.value), make_splitter(added_tokens(shared.value))
         batches = (b for b in batches if b.num_rows)
         head = next(batches, None)
         if head is None:

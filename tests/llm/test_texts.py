@@ -504,3 +504,28 @@ def test_ppm_tries_too_large_for_a_task(spark, docs_of, entries):
     for doc, r in binned.items():
         assert r[:-1] == whole[doc][:-1]
         assert r.score == pytest.approx(whole[doc].score, rel=1e-6, abs=1e-6)
+
+
+def test_memory_of_units_goes_on(library, monkeypatch):
+    """Ids as the library's, whatever was forgotten on the way; units with other marks are encoded once."""
+    rng = np.random.default_rng(3)
+    odd = ["Año's, don't; we'll!? x1, 2.5 ¡Señor!", "a,b,c ... ,, <|endoftext|>. <|endoftext|>, ÿ× µ, ª.", "naïve: coöp;", "", " ,", "日本, é."]
+    letters = [*"abcdeñéÑZ"]
+    words = ["".join(rng.choice(letters, rng.integers(1, 9))) for _ in range(600)]
+    chunks = []
+    for _ in range(12):
+        picked = rng.choice(words, 150)
+        chunks.append([" ".join(w + rng.choice(["", ",", ".", "?!", "'s", "-"]) for w in picked), *odd])
+    encoder, calls = bpe.Encoder(bpe.vocabulary_text(bpe.default_tokenizer())), []
+    plainly, split = encoder.encode, bpe.make_splitter(encoder.added.to_pylist())
+    monkeypatch.setattr(encoder, "encode", lambda units: calls.extend(units.to_pylist()) or plainly(units))
+    for most in (1 << 20, 300, 40):
+        monkeypatch.setattr(token_files, "REMEMBERED", most)
+        memory = token_files.Memory(encoder)
+        calls.clear()
+        for texts in chunks:
+            ids, sizes = token_files.encode_chunk(pa.array(texts), split, memory)
+            whole = [[*library.encode(t, add_special_tokens=False).ids, token_files.END_ID] for t in texts]
+            assert ids.tolist() == [i for w in whole for i in w] and sizes.tolist() == [len(w) for w in whole]
+        if most == 1 << 20:
+            assert len(calls) == len(set(calls)) and not any(re.search("[A-Za-z][.,?!]+$", c) for c in calls if "<" not in c)
