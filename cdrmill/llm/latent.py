@@ -493,9 +493,7 @@ class Judge:
 
 def _judges(docs: DataFrame, benchmark: DataFrame) -> Iterator[Judge]:
     """One judge for each block of ITEM_BLOCK items, in order of id."""
-    items = staged(
-        benchmark.filter(F.col("text").isNotNull()).select(F.col("item_id").cast("long"), "text"), "items"
-    )
+    items = benchmark.filter(F.col("text").isNotNull()).select(F.col("item_id").cast("long"), "text")
     weights = term_weights(docs)
     ordered = items.withColumn("_key", F.struct("item_id", F.xxhash64("text"))).select("_key", "text").distinct()
     ordered, last = staged(ordered, "items"), None

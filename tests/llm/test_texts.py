@@ -529,3 +529,13 @@ def test_memory_of_units_goes_on(library, monkeypatch):
             assert ids.tolist() == [i for w in whole for i in w] and sizes.tolist() == [len(w) for w in whole]
         if most == 1 << 20:
             assert len(calls) == len(set(calls)) and not any(re.search("[A-Za-z][.,?!]+$", c) for c in calls if "<" not in c)
+
+
+def test_items_are_written_once(spark, docs_of, monkeypatch):
+    """Only what the judges read is staged; repeated items are one."""
+    staged, labels = latent.staged, []
+    monkeypatch.setattr(latent, "staged", lambda df, label: labels.append(label) or staged(df, label))
+    items = [prose(300 + i, 40) for i in range(3)]
+    benchmark = spark.createDataFrame([*enumerate(items), (0, items[0])], "item_id long, text string")
+    (judge,) = latent._judges(docs_of([prose(1, 80)]), benchmark)
+    assert labels == ["items"] and judge.ids == [0, 1, 2]
