@@ -28,6 +28,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import partial
 from itertools import combinations
 
 import numpy as np
@@ -399,17 +400,33 @@ def labelled_texts(docs: DataFrame, labels: DataFrame, usable: Column, limit: in
     return found.agg(F.min("text").alias("text")).select("doc_id", "text", (F.col("_toxic") == 1).alias("toxic"))
 
 
+MACHINE = "weights binary, scores binary, chances binary"
+
+
+def _train_rows(stands_for: tuple[float, float], batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """doc_id, text, toxic of the whole sample -> one row of MACHINE."""
+    rows = [row for batch in batches for row in zip(*(column.to_pylist() for column in batch.columns))]
+    rows.sort()
+    made = train([text for _, text, _ in rows], [toxic for _, _, toxic in rows], stands_for)
+    parts = [made.weights.astype("<f4"), made.scores.astype("<f8"), made.chances.astype("<f8")]
+    names = [field.split()[0] for field in MACHINE.split(", ")]
+    yield pa.RecordBatch.from_arrays([pa.array([part.tobytes()], pa.binary()) for part in parts], names)
+
+
 def learn(docs: DataFrame, labels: DataFrame, usable: Column, limit: int = TRAINING_TEXTS) -> Machine:
     """Train on a bounded sample of the labelled rows that are ``usable`` (a
     test on the labels' columns). The sample has up to ``limit`` rows of each
-    class; probabilities are by the classes' shares of all usable labels."""
-    rows = labelled_texts(docs, labels, usable, limit).collect()
-    rows.sort(key=lambda r: (r.doc_id, r.text))
+    class; probabilities are by the classes' shares of all usable labels. A task
+    trains: the driver gets the machine, of one size whatever the data, and no text."""
     told = known_labels(labels, usable).groupBy(F.col("_toxic") == 1).count().collect()  # two rows at most
     stands_for = {bool(is_toxic): max(1.0, n / limit) for is_toxic, n in told}
-    return train(
-        [r.text for r in rows], [r.toxic for r in rows], (stands_for.get(False, 1.0), stands_for.get(True, 1.0))
-    )
+    shares = (stands_for.get(False, 1.0), stands_for.get(True, 1.0))
+    sample = labelled_texts(docs, labels, usable, limit).repartition(1)  # 2 * limit texts at most
+    found = sample.mapInArrow(partial(_train_rows, shares), MACHINE).collect()
+    if not found:  # Spark may run no task for no rows
+        return train([], [], shares)
+    (row,) = found
+    return Machine(*(np.frombuffer(bytes(data), kind) for data, kind in zip(row, ("<f4", "<f8", "<f8"))))
 
 
 def score_texts(

@@ -463,6 +463,26 @@ def test_one_training_text_for_each_label(spark, docs_of):
     assert sorted((r.doc_id, r.text, r.toxic) for r in rows) == [(1, "you fool", True), (2, "fine words", False), (3, "", False)]
 
 
+def test_training_is_done_by_a_task(spark, docs_of, monkeypatch):
+    """The driver trains nothing, and gets what training on the same rows gives."""
+    from pyspark.sql import functions as F
+
+    texts = [prose(i, 40) + (" you numpty " + prose(500 + i, 5) if i % 3 == 0 else "") for i in range(120)]
+    docs = docs_of(texts)
+    labels = spark.createDataFrame([(i, 1, int(i % 3 == 0)) for i in range(120)], "doc_id long, quality int, toxic int")
+    rows = sorted(tuple(r) for r in toxicity.labelled_texts(docs, labels, F.lit(True), 200).collect())
+    here = toxicity.train([t for _, t, _ in rows], [x for _, _, x in rows])
+
+    def never(*_):
+        raise AssertionError("trained in the driver")
+
+    monkeypatch.setattr(toxicity, "train", never)
+    there = toxicity.learn(docs, labels, F.lit(True), 200)
+    assert len(here.chances) > 2  # no constant
+    raw = toxicity._packed([*texts, "", "n.u.m.p.t.y"])
+    assert there.probability(*raw) == pytest.approx(here.probability(*raw), abs=1e-4)
+
+
 def test_screen_keeps_every_candidate(spark):
     """Folding all passages into all blocks finds no candidate that was screened out."""
     rng = np.random.default_rng(5)
