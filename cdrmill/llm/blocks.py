@@ -23,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import CHUNK_BYTES, staged, texts_of
+from .common import CHUNK_BYTES, give_back, staged, texts_of
 
 # Text that a block holds (or one longer document).
 BLOCK_BYTES = 24 << 20
@@ -185,6 +185,7 @@ def build(split: Split, block_bytes: int, finish: Callable[..., Iterator[pa.Reco
                 if size >= block_bytes:
                     yield from flush()
         yield from flush()
+        give_back()
 
     return work
 

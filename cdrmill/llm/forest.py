@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import attach, each_batch, mix64, staged, text_chunks, texts_of, word_hashes
+from .common import attach, each_batch, give_back, mix64, staged, text_chunks, texts_of, word_hashes
 from .components import Sets, components
 
 SHINGLE = 2
@@ -186,6 +186,7 @@ def _walk(ends: bool):
         if ends:
             outer += [(now, *x) for x in leaders]
             yield _met([(region, deeper, rep, bits, None) for region, deeper, rep, bits, _ in outer])
+        give_back()
 
     return work
 
@@ -335,6 +336,7 @@ def _within(same: int):
             if rows[0]["large"]:
                 hubs = cell.central()
                 yield _linked(grp, [(cell.reps[i], cell.reps[i]) for i, _ in hubs], [a for _, a in hubs])
+        give_back()
 
     return work
 
@@ -350,6 +352,7 @@ def _across(same: int):
                 sets.join(r["rep"], r["root"])
             ask = np.array([r["side"] == 1 for r in rows])
             yield _linked(grp, cell.links(np.flatnonzero(ask), np.flatnonzero(~ask), same, sets))
+        give_back()
 
     return work
 

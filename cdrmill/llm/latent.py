@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import each_batch, staged, text_chunks, texts_of, word_hashes
+from .common import each_batch, give_back, local_table, staged, text_chunks, texts_of, word_hashes
 
 TERMS = 1 << 18
 # Counts travel in pieces of so many terms.
@@ -74,6 +74,7 @@ def _count_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [pa.array(range(len(rows)), pa.int32()), pa.array([r.tobytes() for r in rows], pa.binary())],
             ["piece", "counts"],
         )
+    give_back()
 
 
 def _add_up(size: int, kind: str, key: str):
@@ -504,7 +505,8 @@ def _judges(docs: DataFrame, benchmark: DataFrame) -> Iterator[Judge]:
             texts = [r[2] for r in rows]
             parts = item_parts(texts)
             listed = [(b, text) for b, block in enumerate(parts) for _, text in block]
-            given = docs.sparkSession.createDataFrame(listed, "block int, text string")
+            columns = {"block": pa.array([b for b, _ in listed], pa.int32()), "text": [text for _, text in listed]}
+            given = local_table(docs.sparkSession, columns, "block int, text string")
             yield Judge(weights, latent_directions(given, len(parts), weights), parts, [r[0] for r in rows], texts)
         if len(rows) < ITEM_BLOCK:
             return

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import attach, staged
+from .common import attach, give_back, staged
 
 MIN_WORDS = 25
 UNIT_WORDS = 3
@@ -109,6 +109,7 @@ def _hash_units(unit: str, whole_lines: bool):
                         yield flush()
         if held:
             yield flush()
+        give_back()
 
     return work
 
@@ -225,6 +226,7 @@ def _cut(columns: Sequence[str], min_words: int, unit: str):
             arrays += [pa.array(spans, pa.list_(SPAN)), pa.array(n_units, pa.int32()), pa.array(n_removed, pa.int32())]
             yield pa.RecordBatch.from_arrays(arrays, [*columns, "removed", "n_units", "n_removed"])
             pa.default_memory_pool().release_unused()
+        give_back()
 
     return work
 

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_chunks, texts_of
+from .common import give_back, text_chunks, texts_of
 
 LENGTH = 4
 SPAN = 6
@@ -144,14 +144,15 @@ def highest_windows(codes: np.ndarray, offsets: np.ndarray, weights: np.ndarray)
 def all_windows(codes: np.ndarray, offsets: np.ndarray, weights: np.ndarray):
     """``highest_windows`` over many texts, a bounded piece at a time."""
     parts, start = [], 0
+    windows = np.empty(len(codes), dtype=np.float32)
     while start < len(offsets) - 1:
         end = int(np.searchsorted(offsets, offsets[start] + SCORED_BYTES, side="right")) - 1
         end = min(max(end, start + 1), len(offsets) - 1)
         low, high = offsets[start], offsets[end]
-        best, at, windows = highest_windows(codes[low:high], offsets[start : end + 1] - low, weights)
-        parts.append((best, at + low, windows.astype(np.float32)))
+        best, at, windows[low:high] = highest_windows(codes[low:high], offsets[start : end + 1] - low, weights)
+        parts.append((best, at + low))
         start = end
-    return tuple(np.concatenate(x) for x in zip(*parts))
+    return *(np.concatenate(x) for x in zip(*parts)), windows
 
 
 def standing_out(windows: np.ndarray, bar: float) -> np.ndarray:
@@ -360,7 +361,9 @@ def _fit(kernel: Kernel, strong: set[str], texts: Sequence[str], toxic: np.ndarr
         negative = kernel.features_of(codes, offsets, np.unique(np.concatenate(learnt)))
         x = np.concatenate([positive, negative])
         y = np.concatenate([np.ones(len(positive)), -np.ones(len(negative))])
+        del positive, negative  # they are in x
         table = kernel.weights(support_vectors(x, y)[:-1])
+        del x, y
         best, at, windows = all_windows(codes, offsets, table)
         # Clean texts: the highest window of each round, and one by chance.
         learnt.append(at[~toxic])
@@ -368,6 +371,7 @@ def _fit(kernel: Kernel, strong: set[str], texts: Sequence[str], toxic: np.ndarr
         # Toxic texts: the windows that stand out from clean texts, beside the first.
         bar = np.quantile(best[~toxic], STANDS_OUT) if (~toxic).any() else np.inf
         found = standing_out(np.where(np.repeat(toxic, sizes), windows, -np.inf), bar)
+        del windows
         positive = np.concatenate(
             [kernel.features_of(first, ends, ends[:-1]), kernel.features_of(codes, offsets, found)]
         )
@@ -410,7 +414,9 @@ def _train_rows(stands_for: tuple[float, float], batches: Iterator[pa.RecordBatc
     made = train([text for _, text, _ in rows], [toxic for _, _, toxic in rows], stands_for)
     parts = [made.weights.astype("<f4"), made.scores.astype("<f8"), made.chances.astype("<f8")]
     names = [field.split()[0] for field in MACHINE.split(", ")]
+    del rows
     yield pa.RecordBatch.from_arrays([pa.array([part.tobytes()], pa.binary()) for part in parts], names)
+    give_back()
 
 
 def learn(docs: DataFrame, labels: DataFrame, usable: Column, limit: int = TRAINING_TEXTS) -> Machine:
@@ -446,6 +452,7 @@ def score_texts(
                 arrays = [piece.column(i) for i in range(len(columns))]
                 yield pa.RecordBatch.from_arrays([*arrays, pa.array(found)], [*columns, score])
             pa.default_memory_pool().release_unused()
+        give_back()
 
     given = docs.select(*columns, F.col("text").alias("_scored"))
     fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*columns).schema)

@@ -2,6 +2,8 @@
 
 import math
 import re
+import subprocess
+import sys
 import zlib
 from collections import Counter
 
@@ -12,7 +14,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from cdrmill.llm import bpe, forest, latent, lines, ppm, token_files, toxicity
-from cdrmill.llm.common import texts_of
+from cdrmill.llm.common import local_table, texts_of
 from cdrmill.llm.components import components
 
 ODD = [
@@ -45,6 +47,37 @@ def test_bpe_as_the_library(docs_of, library):
     assert bpe.round_trip(docs_of([])).count() == 0
 
 
+def test_local_table_without_workers(spark):
+    for df in (bpe.pieces(spark), local_table(spark, {"a": pa.array([3, None]), "b": ["x", "é"]}, "a long, b string")):
+        assert "PythonRDD" not in df._jdf.queryExecution().toRdd().toDebugString()
+    assert [tuple(r) for r in df.collect()] == [(3, "x"), (None, "é")]
+
+
+GROWTH = """
+import re
+import pyarrow as pa
+from cdrmill.llm import forest, latent
+
+def held():
+    return sum(map(int, re.findall(r"\\nPss_Anon: +(\\d+)", open("/proc/self/smaps_rollup").read()))) / 1024
+
+before = held()
+for work, names in ((forest._describe(5), ["doc_id", "text"]), (latent._count_terms, ["doc_id", "text"])):
+    batches = (
+        pa.RecordBatch.from_arrays([pa.array(range(900)), pa.array([f"w{k} x{i} " * 250 for i in range(900)])], names)
+        for k in range(4)
+    )
+    assert sum(batch.num_rows for batch in work(batches))
+print(held() - before)
+"""
+
+
+def test_workers_give_memory_back():
+    """A worker stays for later tasks, and so does what it holds."""
+    grown = subprocess.run([sys.executable, "-c", GROWTH], capture_output=True, text=True, check=True).stdout
+    assert float(grown) < 60
+
+
 def test_decode_broken_ids(spark, library):
     ids = [220, 162, 50256, 99_999, 100]
     rows = spark.createDataFrame([(1, bytearray(np.array(ids, "<u4").tobytes())), (2, None)], "doc_id long, ids binary")
