@@ -1,10 +1,15 @@
 """Connected components of links, by joins and groupings.
 
-Each task first reduces its own links to a forest. Then every node points its
-larger neighbours to its smallest one, and its smaller ones likewise, in turn,
-until each component is a star around its smallest node, which one grouping of
-the nodes tells. The rounds grow with the logarithm of the longest chain; stars
-take none. No node's neighbours are collected.
+Links point from a node to a smaller one. In a round each task reduces the links that
+it reads to a forest, then the links of a node come together, and the node and those
+it is linked to point to the smallest of them. Ahead of that a link to a node that
+points on itself is moved to where that node points, which halves chains. So a round
+has one join and one shuffle, and is written once. When no node has two links, chains
+alone are left; they are halved by the join, without the shuffle. Rounds go on until
+each component is a star around its smallest node; they grow with the logarithm of
+the longest chain. A task gives a node one link at most for each NODES that it joins,
+so the links that come together for a node are bounded by the tasks, not by its
+neighbours, and a task's memory by NODES.
 """
 
 from __future__ import annotations
@@ -12,10 +17,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import staged
+from .common import give_back, staged
+
+# Nodes that a task joins at once; with more, it goes on with the next rows' links apart.
+NODES = 500_000
 
 
 class Sets:
@@ -41,51 +49,54 @@ class Sets:
 
 
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links -> a link from each node to the smallest of those that they connect."""
     sets = Sets()
     for batch in batches:
         for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()):
+            if len(sets.up) >= NODES:
+                yield _pointed(sets)
+                sets = Sets()
             sets.join(a, b)
+    yield _pointed(sets)
+    del sets
+    give_back()
+
+
+def _pointed(sets: Sets) -> pa.RecordBatch:
     nodes = list(sets.up)
     roots = [sets.find(x) for x in nodes]
-    yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(roots, pa.int64())], ["a", "b"])
-
-
-def _star(edges: DataFrame, larger: bool) -> DataFrame:
-    """Point the larger (or the other) neighbours of each node to its smallest."""
-    if larger:
-        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    else:
-        both = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = both.groupBy("a").agg(F.min("b").alias("least"))
-    least = staged(least.select("a", F.least("a", "least").alias("least")), "least")
-    told = both.join(least, "a")
-    if larger:
-        out = told.filter(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("least").alias("b"))
-    else:
-        out = told.select(F.col("b").alias("a"), F.col("least").alias("b"))
-        out = out.unionByName(least.select("a", F.col("least").alias("b")))
-    return out.filter(F.col("a") != F.col("b")).distinct()
-
-
-def _are_stars(edges: DataFrame) -> bool:
-    """Whether each node points to one node at most, and to none that points on."""
-    none = F.lit(None).cast("long")
-    ends = edges.select(F.col("a").alias("node"), F.col("b").alias("to"), F.lit(False).alias("root")).unionByName(
-        edges.select(F.col("b").alias("node"), none.alias("to"), F.lit(True).alias("root"))
-    )
-    nodes = ends.groupBy("node").agg(
-        F.min("to").alias("least"), F.max("to").alias("most"), F.max("root").alias("root")
-    )
-    open_ends = (F.col("least") < F.col("most")) | (F.col("root") & F.col("least").isNotNull())
-    return not nodes.agg(F.count_if(open_ends)).first()[0]
+    return pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(roots, pa.int64())], ["a", "b"])
+
+
+def _pulled(edges: DataFrame) -> DataFrame:
+    """Each node that has links points to the smallest node that it is linked to (one
+    row, ``own``), and so do the others that it is linked to."""
+    near = Window.partitionBy("a").orderBy("b")
+    rows = edges.mapInArrow(_forest, "a long, b long")
+    rows = rows.select("a", "b", F.first("b").over(near).alias("least"), (F.row_number().over(near) == 1).alias("own"))
+    rows = rows.filter(F.col("own") | (F.col("b") != F.col("least")))
+    node = F.when(F.col("own"), F.col("a")).otherwise(F.col("b"))
+    return staged(rows.select(node.alias("a"), F.col("least").alias("b"), "own"), "edges")
+
+
+def _moved(edges: DataFrame) -> DataFrame:
+    """Links to a node that points on, moved to where it points."""
+    above = edges.filter("own").select(F.col("a").alias("b"), F.col("b").alias("above"))
+    return edges.join(above, "b", "left").select("a", F.coalesce("above", "b").alias("b"), "own")
+
+
+def _points_on(edges: DataFrame) -> bool:
+    """Whether a link leads to a node that points on itself."""
+    return not edges.join(edges.select(F.col("a").alias("b")), "b", "left_semi").isEmpty()
 
 
 def components(edges: DataFrame) -> DataFrame:
     """node, root (smallest node of the component) for all nodes that have a
     link to another node, except the roots. ``edges`` has a and b (long)."""
-    edges = edges.select("a", "b").filter(F.col("a") != F.col("b"))
-    edges = staged(edges.mapInArrow(_forest, "a long, b long").distinct(), "edges")
-    while not _are_stars(edges):
-        edges = staged(_star(edges, True), "edges")
-        edges = staged(_star(edges, False), "edges")
+    edges = _pulled(edges.select("a", "b").filter(F.col("a") != F.col("b")))
+    # Rows that are not ``own`` are of nodes that may have a row elsewhere.
+    while not edges.filter(~F.col("own")).isEmpty():
+        edges = _pulled(_moved(edges).select("a", "b"))
+    while _points_on(edges):
+        edges = staged(_moved(edges), "edges")
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))

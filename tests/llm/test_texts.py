@@ -14,7 +14,8 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from cdrmill.llm import bpe, forest, latent, lines, ppm, token_files, toxicity
-from cdrmill.llm.common import local_table, texts_of
+from cdrmill.llm import components as components_module
+from cdrmill.llm.common import local_table, staged, texts_of
 from cdrmill.llm.components import components
 
 ODD = [
@@ -255,6 +256,33 @@ def test_components_of_chains(spark):
     assert found == {**{i: 0 for i in range(1, 41)}, **{i: 50 for i in [*range(51, 70), 100]}}
 
 
+def test_components_write_once_a_round(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(components_module, "staged", lambda df, label: written.append(label) or staged(df, label))
+    ids = np.random.default_rng(3).permutation(3000).tolist()
+    edges = [*zip(ids[:1999], ids[1:2000]), *((ids[2000], x) for x in ids[2001:]), (ids[5], ids[9]), (ids[9], ids[5])]
+    found = components(spark.createDataFrame(edges, "a long, b long").repartition(12)).collect()
+    chain, star = min(ids[:2000]), min(ids[2000:])
+    expected = {**{x: chain for x in ids[:2000]}, **{x: star for x in ids[2000:]}}
+    assert sorted(map(tuple, found)) == sorted((x, r) for x, r in expected.items() if x != r)
+    assert len(written) <= 8
+
+
+def test_forest_of_bounded_size(monkeypatch):
+    monkeypatch.setattr(components_module, "NODES", 4)
+    links = [(a, a - d) for a in range(10, 60) for d in (1, 3, 9)]
+    made = [b.to_pylist() for b in components_module._forest(pa.RecordBatch.from_pylist(
+        [{"a": a, "b": b} for a, b in links[k : k + 7]]) for k in range(0, len(links), 7))]
+    assert max(map(len, made)) == 4
+    whole, kept = components_module.Sets(), components_module.Sets()
+    for a, b in links:
+        whole.join(a, b)
+    for r in (r for rows in made for r in rows):
+        assert r["b"] < r["a"]
+        kept.join(r["a"], r["b"])
+    assert all(whole.find(x) == kept.find(x) for x in range(60))
+
+
 def brute_cut(texts, ids, min_words=lines.MIN_WORDS):
     pattern, first = re.compile(lines.UNITS["sentence"]), {}
     units = {}
