@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 from pyspark.sql import Window
@@ -58,6 +59,31 @@ def test_many_pieces(spark, rows, order):
     assert rows(skew.dense_rank_by(df, ["k"], order, "r", 20), "id", "r") == rows(expected, "id", "r")
 
 
+def test_rows_are_copied_with_few_cuts(spark, rows):
+    """A join brings a block of cuts, not all of the key's: 200 of them here."""
+    df = spark.range(4000).selectExpr("id", "'hot' AS k", "int(id * 7919 % 4001) AS v")
+    cuts, most = skew.cut_points(df, ["k"], ["v"], 20)
+    assert most > 2 * skew.BLOCK
+    placed = skew._place(df, cuts, ["k"], F.struct("v"))
+    known = sorted(c._value.v for c in cuts.first()._cuts)
+    for r in placed.collect():
+        below = sum(c < r.v for c in known)
+        assert (r._below, r._own is not None) == (below, r.v in known)
+    # Neither as one array nor searched by a function over it.
+    plan = skew.dense_rank_by(df, ["k"], ["v"], "r", 20)._jdf.queryExecution().optimizedPlan().toString()
+    assert "aggregate(" not in plan and "inline(" in plan and "AS _lasts" in plan
+
+
+def test_pieces_are_bounded(spark, rows, monkeypatch):
+    df = spark.range(4000).selectExpr("id", "string(id % 2) AS k", "int(id * 7919 % 4001) AS v")
+    monkeypatch.setattr(skew, "PIECES", 40)
+    sizes, picked = [], skew.cut_points
+    monkeypatch.setattr(skew, "cut_points", lambda *a: sizes.append(a[3]) or picked(*a))
+    expected = df.withColumn("r", F.dense_rank().over(Window.partitionBy("k").orderBy("v")))
+    assert rows(skew.dense_rank_by(df, ["k"], ["v"], "r", 20), "id", "r") == rows(expected, "id", "r")
+    assert sizes == [100]
+
+
 def test_one_record_repeats_past_a_piece(spark, rows, monkeypatch):
     """Three quarters of a key's rows agree in all ordering columns: their rank
     is known without an order, so they are dealt to many tasks."""
