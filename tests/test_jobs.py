@@ -132,3 +132,40 @@ def test_state_has_the_shape_it_reads(tables):
     literal = daily_state_job(state, daily, RUN, quirks=AS_WRITTEN)
     assert len(literal.columns) == 45
     assert literal.select("event_date").distinct().first()[0] == "job_id"
+
+
+def test_usage_takes_along_what_is_wanted(spark, feeds, rows):
+    """Some routes and columns alone: the same rows, from narrower files."""
+    whole, columns = run_usage(feeds), ["rec_id", "lacci_id", "l4_name", "trx_date", "productline_bonus_l4"]
+    some = run_usage(feeds, routes=["GOOD", "REJECT", "DUP02"], columns=columns)
+    assert sorted(some) == ["DUP02", "GOOD", "REJECT"]
+    for route, found in some.items():
+        assert sorted(found.columns) == sorted(columns)
+        assert rows(found, *columns) == rows(whole[route], *columns), route
+    read = spark.read.parquet(*{f.rpartition("/")[0] for f in some["GOOD"].inputFiles()})
+    assert len(read.columns) < 20
+    sums = run_usage(feeds, routes=["SUM"], columns=[])
+    assert list(sums) == ["SUM"] and rows(sums["SUM"]) == rows(whole["SUM"])
+
+
+@pytest.mark.parametrize("fan_out", [False, True])
+def test_usage_duplicates_alone(feeds, rows, fan_out):
+    """Records of rank 1 are not taken through the lookups; ids that are there
+    twice or missing change nothing."""
+    quirks = dataclasses.replace(INTENDED, dimension_fan_out=fan_out)
+    feed = feeds["usage_feed"]
+    more = feed.filter("b_party = 'B2'").withColumn("rec_id", F.lit(None).cast("long"))
+    feed = feed.unionByName(feed.filter("rec_id % 3 = 0").withColumn("cost_band", F.lit("x"))).unionByName(more)
+    feed = stage(feed, "usage_feed")
+    whole = run_usage(feeds, feed, quirks=quirks)["DUP02"]
+    alone = run_usage(feeds, feed, quirks=quirks, routes=["DUP02"], columns=["rec_id", "ranking"])["DUP02"]
+    assert rows(alone.select(*whole.columns)) == rows(whole)
+    assert whole.filter("ranking > 1").count() > 0
+    assert "usage_cleansed" not in " ".join(alone.inputFiles())
+
+
+def test_a_staged_frame_leaves_no_shuffle(spark):
+    known = spark._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker().shuffleStatuses()
+    before = known.size()
+    assert stage(spark.range(1000).repartition(3, "id"), "numbers").count() == 1000
+    assert known.size() <= before + 1  # that of the count
